@@ -81,13 +81,19 @@ def type_at(schema: StructType, path: str) -> DataType | None:
     return found
 
 
-def value_at(schema: StructType, path: str, missing: str = "string") -> Column:
+def value_at(schema: StructType, path: str, missing: DataType | str = "string") -> Column:
     """The column at a path, or a NULL of type ``missing`` where the input lacks it."""
     return F.col(path) if type_at(schema, path) is not None else scalars.typed_null(missing)
 
 
-def _value(schema: StructType, source: Source, convert: str | None) -> Column:
-    value = source.column() if isinstance(source, Constant) else value_at(schema, source)
+def _missing_type(spec: Rule, schema: StructType) -> DataType | str:
+    """What a source the input lacks is a NULL of: the type of the rule's other sources."""
+    found = [type_at(schema, s) for s in spec.sources() if isinstance(s, str)]
+    return next((t for t in found if t is not None), "string")
+
+
+def _value(schema: StructType, source: Source, convert: str | None, missing: DataType | str) -> Column:
+    value = source.column() if isinstance(source, Constant) else value_at(schema, source, missing)
     if convert is None:
         return value
     if convert in CONVERSIONS:
@@ -101,15 +107,16 @@ def _value(schema: StructType, source: Source, convert: str | None) -> Column:
 def compile_rule(
     spec: Rule, schema: StructType, step: str | None = None, step_column: str = "meta_fnnl_step"
 ) -> Column:
+    missing = _missing_type(spec, schema)
     if step is not None or not spec.on_step:
         source = spec.on_step.get(step, spec.source) if step else spec.source
-        return _value(schema, source, spec.convert).alias(spec.target)
+        return _value(schema, source, spec.convert, missing).alias(spec.target)
     cases = None
     for on, source in spec.on_step.items():
         here = F.col(step_column) == F.lit(on)
-        value = _value(schema, source, spec.convert)
+        value = _value(schema, source, spec.convert, missing)
         cases = F.when(here, value) if cases is None else cases.when(here, value)
-    return cases.otherwise(_value(schema, spec.source, spec.convert)).alias(spec.target)
+    return cases.otherwise(_value(schema, spec.source, spec.convert, missing)).alias(spec.target)
 
 
 def project(df: DataFrame, rules: Iterable[Rule], step: str | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ def types_of(j: str) -> str:
     return f"CASE WHEN {j} % 2 = 0 THEN 'a,b' || {j} ELSE '' END"
 
 
-EVENTS = """ev AS (
+EVENTS = f"""ev AS (
   SELECT l_partkey AS p, l_suppkey AS s, l_linenumber AS ln, CAST(l_quantity AS INT) AS q, l_extendedprice AS price,
     CASE WHEN l_linenumber = 7 AND l_partkey % 50 = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS id,
     CASE WHEN l_quantity = 50 THEN NULL WHEN l_returnflag = 'R' THEN 'detail' WHEN l_returnflag = 'A' THEN 'listing'
@@ -36,7 +36,8 @@ EVENTS = """ev AS (
     concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rq,
     CASE WHEN l_suppkey % 20 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS pd_htl_id,
     'KIND-' || upper(l_linestatus) AS profile_type,
-    l_shipdate + to_hours(l_linenumber) AS at_ts,
+    TIMESTAMP '{DAY}' + to_seconds((l_partkey * 1009 + l_suppkey * 31) % 86400) - to_days(l_linenumber % 3) AS at_ts,
+    CAST(l_shipdate AS DATE) AS checkin,
     CASE WHEN l_linenumber <> 3 THEN l_returnflag || ',' || l_linestatus ELSE '' END AS stars
   FROM lineitem)"""
 
@@ -247,7 +248,7 @@ FROM sh WHERE step <> 'listing' OR shown_id IS NOT NULL"""
 COMMON = """profile_type, pd_htl_id, lower(step) AS meta_fnnl_step, rq AS correlation_key,
   strftime(at_ts, '%Y-%m-%d %H:%M:%S') AS record_pdt_ts, strftime(at_ts + to_days(1), '%Y-%m-%d %H:%M:%S') AS record_client_ts,
   strftime(at_ts, '%Y-%m-%d') AS browsing_date, id AS meta_row_id, p * 1000 AS time_spent,
-  CASE WHEN q % 10 <> 0 AND q * 1000 <= 32767 THEN CAST(q * 1000 AS SMALLINT) END AS ap, CAST(at_ts AS DATE) AS checkin_date,
+  CASE WHEN q % 10 <> 0 AND q * 1000 <= 32767 THEN CAST(q * 1000 AS SMALLINT) END AS ap, checkin AS checkin_date,
   CASE ln % 3 WHEN 0 THEN true WHEN 1 THEN false END AS is_multi_room, stars AS filter_star_arr,
   'C' || (s % 7) AS loc_city_code, 'r1,r' || (s % 3) AS loc_region_codes_arr,
   CASE WHEN p % 2 = 1 THEN 'poi' || p END AS loc_poi_name,

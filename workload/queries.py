@@ -20,7 +20,7 @@ from lodgetrail.sources import readers, scratch, writers
 from workload import nested
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-DAY = "2020-09-01"
+DAY = nested.DAY
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
