@@ -106,7 +106,7 @@ def best_tariff(
         events.withColumns({"tariff": winner, "_keys": F.coalesce(keys, no_keys)}),
         [names.ROW_ID],
         # Events alike in all of that and in every column are interchangeable.
-        [F.col("_keys"), *ties, F.xxhash64(*flat)],
+        [F.col("_keys"), *ties, F.expr(f"xxhash64({', '.join(flat)})")],
     ).drop("_keys")
 
 

@@ -7,10 +7,7 @@ shuffle is needed. Order keys serve as row ids: several events share one.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DAY = "2020-09-01"
 
@@ -19,110 +16,81 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def listed(n: str, position: str, element: str) -> str:
+    """An array of ``n`` elements, up to four, made from their positions."""
+    return f"transform(filter(array(0, 1, 2, 3), {position} -> {position} < {n}), {position} -> {element})"
 
 
-def listed(n: Column, element: Callable[[Column], Column], at_most: int = 4) -> Column:
-    """An array of ``n`` elements, made from their positions."""
-    positions = F.filter(F.array(*[F.lit(i) for i in range(at_most)]), lambda i: i < n)
-    return F.transform(positions, element)
+def coupon(code: str, kind: str) -> str:
+    """A coupon at position j, its status by ``kind``."""
+    status = f"get(array('BEST_COUPON', 'OTHER_COUPON', 'RECOMMEND', NULL, 'REDEEMED'), CAST(({kind}) % 5 AS INT))"
+    amount = "CASE WHEN (p + j) % 6 = 0 THEN '' ELSE CAST((p + j) % 90 AS STRING) END"
+    types = "CASE WHEN j % 2 = 0 THEN array('a', NULL, concat('b', j)) END"
+    return f"struct({code} AS cpn_cd, {status} AS cpn_status, {amount} AS cpn_amt, {types} AS cpn_dis_types)"
 
 
-def status(k: Column) -> Column:
-    kinds = ("BEST_COUPON", "OTHER_COUPON", "RECOMMEND", None, "REDEEMED")
-    return F.get(F.array(*[F.lit(s) for s in kinds]), (k % 5).cast("int"))
+TARIFF_COUPONS = listed("(s + i) % 4", "j", coupon("concat('t', p + 10 * i + j)", "p + i + j"))
+TARIFF = f"""struct(
+  concat('room-', p * 10 + i) AS pd_htl_rm_cd,
+  CASE WHEN (p + i) % 11 <> 0 THEN price + ((s + 7 * i) % 5) * 10 END AS prc_sell_amt_w_tax,
+  (s + i) % 3 = 0 AS pd_htl_lowest_trff,
+  {TARIFF_COUPONS} AS cpn_resp_trff_ls)"""
 
+DISPLAYED = """struct(
+  CASE WHEN (p + d) % 13 <> 0 THEN CAST(p + d AS STRING) END AS pd_htl_id,
+  2 * d + 1 AS pd_htl_rnk_disp,
+  CASE WHEN (p + d) % 7 = 0 THEN 'n/a' ELSE concat(p + d, '.5') END AS pd_disp_sell_amt)"""
 
-def coupon(code: Column, state: Column, amount: Column, j: Column) -> Column:
-    types = F.when(j % 2 == 0, F.array(F.lit("a"), F.lit(None), text("b", j)))
-    return F.struct(
-        code.alias("cpn_cd"), state.alias("cpn_status"), amount.alias("cpn_amt"), types.alias("cpn_dis_types")
-    )
+SERVER_COUPONS = listed("(p + k) % 3", "j", coupon("concat('h', p + k + j)", "p + k + j"))
+SERVER = f"""struct(
+  CAST(p + k % 3 AS STRING) AS pd_htl_id,
+  CAST(k + 1 AS STRING) AS pd_htl_rank,
+  price + k AS prc_sell_amt_w_tax,
+  k % 2 = 0 AS pd_htl_fc,
+  {SERVER_COUPONS} AS cpn_resp_htl_ls,
+  struct(concat('L', p + k) AS location_id, array('x', concat('y', k)) AS pd_srvr_loc_reg_cds) AS locus_hotel)"""
+
+LOCATION = f"""struct(
+  concat('C', s % 7) AS pd_loc_city_cd,
+  array('r1', NULL, concat('r', s % 3)) AS pd_loc_reg_cds,
+  concat('E', p) AS location_id,
+  {listed("p % 2", "i", "struct(concat('poi', p) AS poi_nm, p / CAST(10 AS DOUBLE) AS poi_lat)")} AS poi_ls)"""
+
+STEP = """CASE WHEN q = 50 THEN NULL WHEN l_returnflag = 'R' THEN 'detail' WHEN l_returnflag = 'A' THEN 'listing'
+  WHEN l_linestatus = 'O' THEN 'Review' ELSE 'thankyou' END"""
+
+# Events of the run's day, some of them up to two days late.
+MILLIS = f"""unix_millis(TIMESTAMP '{DAY}') + ((p * 1009 + s * 31) % 86400) * 1000 + 123 - (ln % 3) * 86400000"""
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events in the current layout; the columns they lack are left out."""
-    p, s, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    price, quantity = F.col("l_extendedprice"), F.col("l_quantity").cast("int")
-    # Events of the run's day, some of them up to two days late.
-    midnight = F.unix_millis(F.lit(DAY).cast("timestamp"))
-    millis = midnight + ((p * 1009 + s * 31) % 86400) * 1000 + 123 - (ln % 3) * 86400000
-
-    def amount(j: Column) -> Column:
-        return F.when((p + j) % 6 == 0, "").otherwise(((p + j) % 90).cast("string"))
-
-    def tariff(i: Column) -> Column:
-        coupons = listed(
-            (s + i) % 4, lambda j: coupon(text("t", p + 10 * i + j), status(p + i + j), amount(j), j)
-        )
-        return F.struct(
-            text("room-", p * 10 + i).alias("pd_htl_rm_cd"),
-            F.when((p + i) % 11 != 0, price + ((s + 7 * i) % 5) * 10).alias("prc_sell_amt_w_tax"),
-            ((s + i) % 3 == 0).alias("pd_htl_lowest_trff"),
-            coupons.alias("cpn_resp_trff_ls"),
-        )
-
-    def displayed(d: Column) -> Column:
-        return F.struct(
-            F.when((p + d) % 13 != 0, (p + d).cast("string")).alias("pd_htl_id"),
-            (2 * d + 1).alias("pd_htl_rnk_disp"),
-            F.when((p + d) % 7 == 0, "n/a").otherwise(text(p + d, ".5")).alias("pd_disp_sell_amt"),
-        )
-
-    def server(k: Column) -> Column:
-        coupons = listed((p + k) % 3, lambda j: coupon(text("h", p + k + j), status(p + k + j), amount(j), j))
-        return F.struct(
-            (p + k % 3).cast("string").alias("pd_htl_id"),
-            (k + 1).cast("string").alias("pd_htl_rank"),
-            (price + k).alias("prc_sell_amt_w_tax"),
-            (k % 2 == 0).alias("pd_htl_fc"),
-            coupons.alias("cpn_resp_htl_ls"),
-            F.struct(
-                text("L", p + k).alias("location_id"),
-                F.array(F.lit("x"), text("y", k)).alias("pd_srvr_loc_reg_cds"),
-            ).alias("locus_hotel"),
-        )
-
-    location = F.struct(
-        text("C", s % 7).alias("pd_loc_city_cd"),
-        F.array(F.lit("r1"), F.lit(None), text("r", s % 3)).alias("pd_loc_reg_cds"),
-        text("E", p).alias("location_id"),
-        listed(
-            p % 2, lambda i: F.struct(text("poi", p).alias("poi_nm"), (p / F.lit(10)).alias("poi_lat"))
-        ).alias("poi_ls"),
-    )
-    step = (
-        F.when(quantity == 50, None)
-        .when(F.col("l_returnflag") == "R", "detail")
-        .when(F.col("l_returnflag") == "A", "listing")
-        .when(F.col("l_linestatus") == "O", "Review")
-        .otherwise("thankyou")
+    """Raw events in the current layout; columns without a counterpart are left out."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE) AS shipped",
+        "l_partkey AS p", "l_suppkey AS s", "l_linenumber AS ln", "l_extendedprice AS price", "CAST(l_quantity AS INT) AS q",
     )
-    return table(spark, sf_dir, "lineitem").select(
-        F.when((ln == 7) & (p % 50 == 0), None).otherwise(F.col("l_orderkey").cast("string")).alias("meta_rw_id"),
-        step.alias("meta_fnnl_step"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("meta_rq_id"),
-        F.when(s % 20 != 0, p.cast("string")).alias("pd_htl_id"),
-        text("kind-", F.lower("l_linestatus")).alias("usr_prof_typ"),
-        F.when(quantity % 10 == 0, "").otherwise((quantity * 1000).cast("string")).alias("srch_ap"),
-        F.date_format(F.col("l_shipdate").cast("timestamp"), "yyyy-MM-dd").alias("srch_checkin_dt"),
-        (p * 1000).cast("string").alias("meta_pg_tm_intvl"),
-        F.get(F.array(F.lit("yes"), F.lit("no"), F.lit("maybe")), ln % 3).alias("bkg_mlt_rm"),
-        millis.alias("m124"),
-        (millis + 86400000).alias("m123"),
-        millis.alias("meta_prcssr_ts"),
-        price.alias("prc_sell_amt_w_tax"),
-        (s % 2 == 0).alias("pd_htl_fc"),
-        (s % 3 == 0).alias("pd_htl_sold_out"),
-        F.when(ln != 3, F.array("l_returnflag", F.lit(None), "l_linestatus")).alias("fltr_star"),
-        F.when(ln != 6, listed(ln % 4, tariff)).alias("pd_htl_trff_srvr_ls"),
-        F.when(ln != 5, listed(s % 4, displayed)).alias("pd_htl_dtl_disp"),
-        listed(quantity % 5, server).alias("pd_htl_srvr_ls"),
-        F.when(
-            ln != 2, listed(p % 4, lambda j: coupon(text("e", p + j), status(p + 3 * j), amount(j), j))
-        ).alias("cpn_resp_ls"),
-        location.alias("locus"),
+    return lines.selectExpr(
+        "CASE WHEN ln <> 7 OR p % 50 <> 0 THEN CAST(l_orderkey AS STRING) END AS meta_rw_id",
+        f"{STEP} AS meta_fnnl_step",
+        "concat_ws('-', l_orderkey, ln, p, s) AS meta_rq_id",
+        "CASE WHEN s % 20 <> 0 THEN CAST(p AS STRING) END AS pd_htl_id",
+        "concat('kind-', lower(l_linestatus)) AS usr_prof_typ",
+        "CASE WHEN q % 10 = 0 THEN '' ELSE CAST(q * 1000 AS STRING) END AS srch_ap",
+        "CAST(shipped AS STRING) AS srch_checkin_dt",
+        "CAST(p * 1000 AS STRING) AS meta_pg_tm_intvl",
+        "get(array('yes', 'no', 'maybe'), ln % 3) AS bkg_mlt_rm",
+        f"{MILLIS} AS m124",
+        f"{MILLIS} + 86400000 AS m123",
+        f"{MILLIS} AS meta_prcssr_ts",
+        "price AS prc_sell_amt_w_tax",
+        "s % 2 = 0 AS pd_htl_fc",
+        "s % 3 = 0 AS pd_htl_sold_out",
+        "CASE WHEN ln <> 3 THEN array(l_returnflag, NULL, l_linestatus) END AS fltr_star",
+        f"CASE WHEN ln <> 6 THEN {listed('ln % 4', 'i', TARIFF)} END AS pd_htl_trff_srvr_ls",
+        f"CASE WHEN ln <> 5 THEN {listed('s % 4', 'd', DISPLAYED)} END AS pd_htl_dtl_disp",
+        f"{listed('q % 5', 'k', SERVER)} AS pd_htl_srvr_ls",
+        f"""CASE WHEN ln <> 2 THEN {listed('p % 4', 'j', coupon("concat('e', p + j)", "p + 3 * j"))} END AS cpn_resp_ls""",
+        f"{LOCATION} AS locus",
     )
 
 

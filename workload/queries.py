@@ -37,10 +37,10 @@ def project_cast_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = nested.table(spark, sf_dir, "customer").select(
         "*",
         (F.col("c_custkey") * 37).cast("string").alias("key_text"),
-        nested.text("1998-", F.col("c_nationkey"), "-15").alias("day_text"),
+        F.format_string("1998-%d-15", "c_nationkey").alias("day_text"),
         F.get(F.array(*[F.lit(t) for t in ("yes", "false", "", "1", "maybe")]), (F.col("c_custkey") % 5).cast("int"))
         .alias("flag_text"),
-        nested.text(F.col("c_nationkey"), ".25").alias("rate_text"),
+        F.format_string("%d.25", "c_nationkey").alias("rate_text"),
     )
     rules = [
         rule("customer_id", "c_custkey"),
@@ -91,8 +91,7 @@ def step_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         rule("rank", null("int"), click="user_id", convert="int"),
         rule("note", EMPTY),
     ]
-    cols = [columns.compile_rule(r, events.schema, step_column="step") for r in rules]
-    return events.select(*cols, F.lit(0).alias("meta_row_type"))
+    return columns.project(events, rules, step_column="step").withColumn("meta_row_type", F.lit(0))
 
 
 @query
@@ -297,12 +296,12 @@ def mean_and_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = nested.table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
-        nested.text(F.col("user_id"), F.when(F.col("user_id") % 4 == 0, "x").otherwise("")).alias("user_id"),
+        F.concat("user_id", F.when(F.col("user_id") % 4 == 0, "x").otherwise("")).alias("user_id"),
         (F.col("event_id") * 11).cast("string").alias("small"),
         "event_type",
         F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("day"),
         F.when(F.col("event_id") % 2 == 0, "true").otherwise("false").alias("even"),
-        nested.text(F.col("user_id"), ".5").alias("half"),
+        F.concat("user_id", F.lit(".5")).alias("half"),
     )
     schema = StructType(
         [
