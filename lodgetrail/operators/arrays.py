@@ -62,18 +62,31 @@ def kept_elements(array: Column, keep: Callable[[Column, Column], Column]) -> Co
 def first_positions(array: Column, field: str, values: tuple[str, ...]) -> list[Column]:
     """For each value, the 0-based position of the first element whose field equals it."""
     held = array.getField(field)
-    return [F.nullif(F.array_position(held, F.lit(v)), F.lit(0).cast("bigint")) - 1 for v in values]
+    return [(F.nullif(F.array_position(held, F.lit(v)), F.lit(0).cast("bigint")) - 1).cast("int") for v in values]
 
 
-def least_element(array: Column, order: Callable[[Column], list[Column]]) -> tuple[Column, Column]:
-    """The smallest element by ``order`` and the order keys it won with.
+def picked_elements(array: Column, chosen: Column, status: str, keep_unmatched: bool = False) -> Column:
+    """The element at the chosen position and those whose status is NULL.
 
-    Equal elements rank by position. The keys of a NULL or empty array are NULL.
+    With ``keep_unmatched``, a NULL position keeps all. A NULL or empty array
+    becomes one NULL element, as in ``kept_elements``. The position is used
+    outside of any lambda, so it is worked out once per row, not per element.
     """
-    keys = F.array_min(
+    at_position = F.filter(F.array(F.get(array, chosen)), lambda e: e.getField(status).isNotNull())
+    kept = F.concat(at_position, F.filter(array, lambda e: e.getField(status).isNull()))
+    if keep_unmatched:
+        kept = F.when(chosen.isNull(), array).otherwise(kept)
+    return F.when(F.size(array) > 0, kept).otherwise(F.array(no_element(array)))
+
+
+def least_keys(array: Column, order: Callable[[Column], list[Column]]) -> Column:
+    """Order keys of the smallest element by ``order``, as a struct ending in its ``position``.
+
+    Equal elements rank by position. NULL for a NULL or empty array.
+    """
+    return F.array_min(
         F.transform(
             array,
             lambda e, i: F.struct(*[k.alias(f"k{n}") for n, k in enumerate(order(e))], i.alias("position")),
         )
     )
-    return F.get(array, keys.getField("position")), keys

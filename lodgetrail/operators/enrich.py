@@ -17,6 +17,16 @@ def attach(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key:
     return facts.join(dimension, same, "left")
 
 
+def broadcast_if_small(dimension: DataFrame, most_rows: int) -> DataFrame:
+    """The dimension marked for broadcast if a count finds it small enough, else as it is.
+
+    Spark's own threshold is set for tables in general; facts are so much wider
+    than a dimension of a few short columns that sparing their shuffle pays for
+    far larger broadcasts.
+    """
+    return F.broadcast(dimension) if dimension.count() <= most_rows else dimension
+
+
 def ambiguous_keys(dimension: DataFrame, key: str) -> DataFrame:
     """Dimension keys with several rows, which would multiply facts, and their row count."""
     return dimension.groupBy(key).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)

@@ -21,7 +21,7 @@ from lodgetrail.plans import layout as names
 # How events relate to their row ids.
 SHARED = "shared"  # several events may have one: compare across events
 UNIQUE = "unique"  # one event each: no shuffle
-FEW_SHARED = "few_shared"  # so few ids are shared that their table may be broadcast
+FEW_SHARED = "few_shared"  # so few ids are shared that a table of them may be broadcast
 
 OFFER_ORDER = "offer"
 EVENT_PRICE_ORDER = "event_price"
@@ -92,38 +92,36 @@ def best_tariff(
     without tariffs ranking last (under ``event_price``: as unflagged ones).
     """
     schema = events.schema
+    tariffs = _structs_at(schema, names.TARIFFS)
     ranked_by = _tariff_order(order, schema)
-    winner, keys = arrays.least_element(_structs_at(schema, names.TARIFFS), ranked_by)
+    keyed = events.withColumn("_keys", arrays.least_keys(tariffs, ranked_by)).withColumn(
+        "tariff", F.get(tariffs, F.col("_keys.position"))
+    )
     if row_ids == UNIQUE:
-        return events.withColumn("tariff", winner)
+        return keyed.drop("_keys")
 
-    none = arrays.no_element(_structs_at(schema, names.TARIFFS))
+    none = arrays.no_element(tariffs)
     last = F.lit(2147483647).alias("position")
     no_keys = F.struct(*[k.alias(f"k{n}") for n, k in enumerate(ranked_by(none))], last)
     flat = [f.name for f in schema.fields if f.name not in _ABSENT]
-    ties = [F.col(c) for c in tie_break if c in schema.names]
-    return pick.top_one(
-        events.withColumns({"tariff": winner, "_keys": F.coalesce(keys, no_keys)}),
-        [names.ROW_ID],
+    rank = [
+        F.coalesce(F.col("_keys"), no_keys),
+        *[F.col(c) for c in tie_break if c in schema.names],
         # Events alike in all of that and in every column are interchangeable.
-        [F.col("_keys"), *ties, F.expr(f"xxhash64({', '.join(flat)})")],
-    ).drop("_keys")
+        F.expr(f"xxhash64({', '.join(flat)})"),
+    ]
+    if row_ids == SHARED:
+        return pick.top_one(keyed, [names.ROW_ID], rank).drop("_keys")
+    few = F.broadcast(pick.shared_keys(events.select(names.ROW_ID), names.ROW_ID))
+    alone = keyed.join(few, names.ROW_ID, "left_anti")
+    rivals = keyed.join(few, names.ROW_ID, "left_semi")
+    return alone.unionByName(pick.top_one(rivals, [names.ROW_ID], rank)).drop("_keys")
 
 
 def _open_coupons(df: DataFrame, kept: Column) -> DataFrame:
     return df.select("*", F.explode(kept).alias("coupon"))
 
 
-def _picked(coupons: Column, chosen: Column, keep_unmatched: bool) -> Column:
-    """The coupon at the chosen position and those without a status."""
-
-    def keep(coupon: Column, position: Column) -> Column:
-        stays = filters.at_position_or_null(position, chosen, coupon.getField(STATUS))
-        return stays | chosen.isNull() if keep_unmatched else stays
-
-    return arrays.kept_elements(coupons, keep)
-
-
 def detail_facts(
     prepared: DataFrame,
     tariff_order: str = OFFER_ORDER,
@@ -137,7 +135,7 @@ def detail_facts(
     # One event per row id is left, so its own coupons decide.
     coupons = _structs_at(won.schema, f"tariff.{names.TARIFF_COUPONS}")
     firsts = arrays.first_positions(coupons, STATUS, names.DETAIL_PRIORITIES)
-    picked = _picked(coupons, F.coalesce(*firsts), keep_unmatched)
+    picked = arrays.picked_elements(coupons, F.coalesce(*firsts), STATUS, keep_unmatched)
     return _facts(_open_coupons(won, picked), names.DETAIL)
 
 
@@ -201,5 +199,6 @@ def other_facts(prepared: DataFrame, row_ids: str = SHARED, keep_unmatched: bool
             chosen = pick.chosen_positions(narrow, names.ROW_ID, list(firsts))
             settled = pick.join_by_key(events, chosen, names.ROW_ID)
     # The coupons that stay are settled before displayed hotels multiply the event.
-    kept = settled.withColumn("_kept", _picked(coupons, F.col("_chosen"), keep_unmatched))
+    picked = arrays.picked_elements(coupons, F.col("_chosen"), STATUS, keep_unmatched)
+    kept = settled.withColumn("_kept", picked)
     return _facts(_open_coupons(_expand_display(kept), F.col("_kept")), names.OTHER)

@@ -51,13 +51,13 @@ def test_matched_pairs_equal_the_double_explode(spark):
     assert rows(matched, "id", "p.position", "p.left.n", "p.right.m") == rows(double, "id", "pos", "x.n", "y.m")
 
 
-def test_least_element(spark):
+def test_least_keys(spark):
     df = spark.createDataFrame(
         [(1, [("b", None), ("c", 2.0), ("d", 1.0), ("e", 1.0)]), (2, []), (3, None), (4, [("z", None)])],
         "id int, a array<struct<n:string,p:double>>",
     )
-    element, keys = arrays.least_element(F.col("a"), lambda e: [e.getField("p").isNull(), e.getField("p")])
-    out = df.select("id", element.alias("e"), keys.alias("k"))
+    keys = arrays.least_keys(F.col("a"), lambda e: [e.getField("p").isNull(), e.getField("p")])
+    out = df.withColumn("k", keys).withColumn("e", F.get("a", F.col("k.position")))
     assert rows(out, "id", "e.n", "k.position") == [(1, "d", 2), (2, None, None), (3, None, None), (4, "z", 0)]
 
 
@@ -139,11 +139,20 @@ def test_pick_inside_the_array_equals_the_opened_pick(spark):
     df = spark.createDataFrame(data, "id string, a array<struct<n:int,status:string>>")
     opened = arrays.open_array(df, "a", "c", "pos").select("id", "pos", "c.status")
     firsts = arrays.first_positions(F.col("a"), "status", ("BEST", "OTHER"))
-    kept = arrays.kept_elements(
-        F.col("a"), lambda c, i: filters.at_position_or_null(i, F.coalesce(*firsts), c.getField("status"))
-    )
-    inside = df.select("id", F.explode(kept).alias("c")).select("id", "c.n", "c.status")
-    assert rows(inside) == rows(picked(opened, "BEST", "OTHER"), "id", "pos", "status")
+    for keep_unmatched in (False, True):
+        kept = arrays.picked_elements(F.col("a"), F.coalesce(*firsts), "status", keep_unmatched)
+        inside = df.select("id", F.explode(kept).alias("c")).select("id", "c.n", "c.status")
+        assert rows(inside) == rows(picked(opened, "BEST", "OTHER", keep_unmatched=keep_unmatched), "id", "pos", "status")
+
+
+def test_picked_elements_at_foreign_positions(spark):
+    array = "array(named_struct('n', 0, 's', 'A'), named_struct('n', 1, 's', CAST(NULL AS STRING)), NULL)"
+    df = spark.range(1).selectExpr(f"{array} AS a", "explode(array(0, 1, 2, 7, NULL)) AS p")
+    kept = arrays.picked_elements(F.col("a"), F.col("p"), "s")
+    # An element without a status stays once, whether or not it is at the position.
+    assert rows(df.select("p", F.transform(kept, lambda e: e.getField("n")))) == [
+        (None, [1, None]), (0, [0, 1, None]), (1, [1, None]), (2, [1, None]), (7, [1, None]),
+    ]
 
 
 def test_top_one(spark):
@@ -213,6 +222,15 @@ def test_attach_fans_out_keeps_both_keys_and_compares_as_text(spark):
     assert rows(enrich.ambiguous_keys(dimension, "mmt_hotel_id")) == [("1", 2)]
 
 
+def test_dimension_is_broadcast_only_within_the_bound(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    facts = spark.createDataFrame([("1",)], "k string")
+    dimension = spark.createDataFrame([("1", "A"), ("2", "B")], "d string, c string")
+    for bound, joined in ((2, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+        out = enrich.attach(facts, enrich.broadcast_if_small(dimension, bound), "k", "d")
+        assert joined in plan_of(out) and rows(out) == [("1", "1", "A")]
+
+
 def test_shared_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert rows(pick.shared_keys(df, "k")) == [("a",)]

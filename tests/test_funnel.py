@@ -58,7 +58,8 @@ def test_events_sharing_a_row_id_compete_and_null_ids_drop(spark):
         event("a", "detail", meta_rq_id="q3"),
         event(None, "detail", pd_htl_trff_srvr_ls=[tariff("r3", 1.0)]),
     ]
-    assert rows(detail(spark, *events), "correlation_key", "room_code") == [("q2", "r2")]
+    for row_ids in (steps.SHARED, steps.FEW_SHARED):
+        assert rows(detail(spark, *events, row_ids=row_ids), "correlation_key", "room_code") == [("q2", "r2")]
     unique = detail(spark, *events, row_ids=steps.UNIQUE)
     assert rows(unique, "room_code") == [(None,), ("r1",), ("r2",)]
 
@@ -73,7 +74,7 @@ def test_detail_coupons(spark):
         with_coupons("r3", None),
         with_coupons("r4", [coupon("c0", "REDEEMED"), coupon("c1", "OTHER_COUPON"), coupon("c2", "OTHER_COUPON")]),
     ]
-    for row_ids in (steps.SHARED, steps.UNIQUE):
+    for row_ids in (steps.SHARED, steps.FEW_SHARED, steps.UNIQUE):
         out = detail(spark, *events, row_ids=row_ids)
         assert rows(out, "meta_row_id", "cpn_cd") == [("r1", "c0"), ("r1", "c2"), ("r3", None), ("r4", "c1")]
     kept = detail(spark, *events, keep_unmatched=True)
@@ -307,14 +308,14 @@ def test_measured_row_ids(spark):
 
     a, b = event("x", "detail"), event("x", "review")
     assert measured(a, b, event(None, "detail"), event(None, "detail")) == (steps.UNIQUE, steps.UNIQUE)
-    assert measured(a, a, b) == (steps.SHARED, steps.UNIQUE)
+    assert measured(a, a, b) == (steps.FEW_SHARED, steps.UNIQUE)
     assert measured(a, b, b) == (steps.UNIQUE, steps.FEW_SHARED)
 
 
 def test_many_shared_row_ids_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(day_job, "BROADCAST_IDS", 0)
-    b = event("x", "review")
-    assert day_job.measured_row_ids(frame(spark, b, b))[1] == steps.SHARED
+    a, b = event("x", "detail"), event("x", "review")
+    assert day_job.measured_row_ids(frame(spark, a, a, b, b)) == (steps.SHARED, steps.SHARED)
 
 
 def test_scan_reads_only_what_the_facts_need(spark, tmp_path):
