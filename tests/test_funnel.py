@@ -307,8 +307,10 @@ def test_measured_row_ids(spark):
         return day_job.measured_row_ids(frame(spark, *events))
 
     a, b = event("x", "detail"), event("x", "review")
+    many = [event(f"y{i}", "detail") for i in range(10)]
     assert measured(a, b, event(None, "detail"), event(None, "detail")) == (steps.UNIQUE, steps.UNIQUE)
-    assert measured(a, a, b) == (steps.FEW_SHARED, steps.UNIQUE)
+    assert measured(a, a, b) == (steps.SHARED, steps.UNIQUE)
+    assert measured(a, a, b, *many) == (steps.FEW_SHARED, steps.UNIQUE)
     assert measured(a, b, b) == (steps.UNIQUE, steps.FEW_SHARED)
 
 

@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores where the input is a file or two that Spark cannot split.
+
+    Large inputs come in enough splits of their own and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def listed(n: str, position: str, element: str) -> str:
     """An array of ``n`` elements, up to four, made from their positions."""
     return f"transform(filter(array(0, 1, 2, 3), {position} -> {position} < {n}), {position} -> {element})"
@@ -69,7 +78,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE) AS shipped",
         "l_partkey AS p", "l_suppkey AS s", "l_linenumber AS ln", "l_extendedprice AS price", "CAST(l_quantity AS INT) AS q",
     )
-    return lines.selectExpr(
+    return spread(lines).selectExpr(
         "CASE WHEN ln <> 7 OR p % 50 <> 0 THEN CAST(l_orderkey AS STRING) END AS meta_rw_id",
         f"{STEP} AS meta_fnnl_step",
         "concat_ws('-', l_orderkey, ln, p, s) AS meta_rq_id",
