@@ -6,7 +6,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from lodgetrail.plans import prepare, steps
+from tests import opened_first
 from tests.conftest import plan_of
+from workload import nested
+from workload.queries import CHECKED
 
 duckdb = pytest.importorskip("duckdb")
 DATA = "/root/testdata/sf0.01"
@@ -43,5 +47,22 @@ def test_query(spark, tables, name):
         assert not extra, f"only in {a}"
 
 
+@pytest.mark.parametrize("row_ids", [steps.SHARED, steps.FEW_SHARED])
+def test_steps_equal_the_form_that_opens_first(spark, row_ids):
+    prepared = prepare.prepare_events(nested.raw_events(spark, DATA))
+    pairs = [
+        (steps.detail_facts(prepared, row_ids=row_ids), opened_first.detail(prepared)),
+        (steps.other_facts(prepared, row_ids), opened_first.others(prepared)),
+    ]
+    if row_ids == steps.SHARED:
+        pairs.append((steps.listing_facts(prepared), opened_first.listing(prepared)))
+    for ours, opened in pairs:
+        assert ours.columns == opened.columns
+        ours, opened = ours.select(*CHECKED).toArrow(), opened.select(*CHECKED).toArrow()
+        assert ours.num_rows == opened.num_rows > 0
+        order = [(c, "ascending") for c in CHECKED]
+        assert ours.sort_by(order).equals(opened.sort_by(order))
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

@@ -360,8 +360,8 @@ finished AS (
 SELECT {columns} FROM finished"""
 
 
-ORACLES["day_job_facts"] = day_facts(", ".join(FINISHED))
-ORACLES["fact_roundtrip"] = ORACLES["day_job_facts"]
+ORACLES["day_job"] = day_facts(", ".join(FINISHED))
+ORACLES["fact_roundtrip"] = ORACLES["day_job"]
 
 # The older layout has no location: its text columns are empty.
 OLDER = {

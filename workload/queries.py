@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 from lodgetrail.functions import columns, scalars
 from lodgetrail.functions.columns import EMPTY, null, rule
 from lodgetrail.operators import arrays, combine, enrich, filters, pick, report
-from lodgetrail.plans import day_job, layout, prepare, steps
+from lodgetrail.plans import day_job as job, layout, prepare, steps
 from lodgetrail.sources import readers, scratch, writers
 from workload import nested
 
@@ -400,16 +400,16 @@ def other_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def day_job_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def day_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     hotels = prepare.hotel_cities(nested.hotels(spark, sf_dir))
-    return day_job.day_facts(nested.raw_events(spark, sf_dir), hotels, DAY).select(*FINISHED)
+    return job.day_facts(nested.raw_events(spark, sf_dir), hotels, DAY).select(*FINISHED)
 
 
 @query
 def day_job_older_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     hotels = prepare.hotel_cities(nested.hotels(spark, sf_dir))
     raw = nested.older(nested.raw_events(spark, sf_dir))
-    return day_job.day_facts(raw, hotels, DAY).select(*FINISHED)
+    return job.day_facts(raw, hotels, DAY).select(*FINISHED)
 
 
 @query
@@ -417,8 +417,8 @@ def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole day job from files to files: events and hotels written, facts read back."""
     base = scratch.fresh_path(spark, "day")
     events, hotels, out = f"{base}/events", f"{base}/hotels", f"{base}/facts"
-    nested.raw_events(spark, sf_dir).withColumn("date_part", F.lit(DAY)).write.partitionBy("date_part").parquet(events)
+    nested.raw_events(spark, sf_dir).write.parquet(f"{events}/date_part={DAY}")
     writers.write_delimited(nested.hotels(spark, sf_dir), hotels, separator="|")
-    path = day_job.run_day(spark, events, hotels, DAY, out)
+    path = job.run_day(spark, events, hotels, DAY, out)
     facts = spark.read.parquet(path).withColumn("browsing_date", F.col("browsing_date").cast("string"))
     return facts.select(*FINISHED)
