@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
-from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 
 def pruned(schema: StructType, wanted: Iterable[str]) -> StructType:
