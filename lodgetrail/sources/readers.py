@@ -55,11 +55,16 @@ def read_events(
     ``wanted`` lists the dotted paths to read. Spark prunes fields inside
     arrays of structs only in simple cases once the arrays are opened; naming
     them in the read schema makes the scan skip the rest in every case.
+
+    The columns are those of all files of the source together, found by a
+    distributed look at every footer: a day may mix layouts, and no one file
+    decides what the others hold. Columns a file lacks are NULL in its rows.
     """
     source = path if day is None else f"{path.rstrip('/')}/{day_column}={day}"
 
     def reader() -> DataFrameReader:
-        return spark.read if day is None else spark.read.option("basePath", path)
+        plain = spark.read.option("mergeSchema", True)
+        return plain if day is None else plain.option("basePath", path)
 
     found = reader().parquet(source)
     if wanted is None:
