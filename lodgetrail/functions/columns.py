@@ -16,7 +16,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, NumericType, StringType, StructType
 
 from lodgetrail.functions import scalars
 
@@ -105,17 +105,38 @@ def _expression(spec: Rule, schema: StructType, source: Source) -> str:
             return value
     if spec.convert is None:
         return value
+    if spec.convert in scalars.WHOLE and isinstance(source, str) and isinstance(type_at(schema, source), StringType):
+        value = scalars.WHOLE_TEXT.format(value)
     return CONVERSIONS.get(spec.convert, f"try_cast({{0}} AS {spec.convert})").format(value)
 
 
+def _case_type(spec: Rule, schema: StructType) -> str | None:
+    """What all branches of an unfolded CASE are converted to, where their sources are of unlike types.
+
+    Numbers win over text, and text over the rest; unlike numbers become double.
+    """
+    if spec.convert is not None:
+        return None
+    found = {type_at(schema, s) for s in spec.sources() if isinstance(s, str)} - {None}
+    if len(found) < 2:
+        return None
+    return "double" if any(isinstance(t, NumericType) for t in found) else "string"
+
+
 def expression(
     spec: Rule, schema: StructType, step: str | None = None, step_column: str = "meta_fnnl_step"
 ) -> str:
     """The rule as an SQL expression named after its target."""
     value = _expression(spec, schema, spec.source if step is None else spec.on_step.get(step, spec.source))
     if step is None and spec.on_step:
+        one = _case_type(spec, schema)
+
+        def branch(sql: str) -> str:
+            return sql if one is None else f"try_cast({sql} AS {one})"
+
+        value = branch(value)
         cases = " ".join(
-            f"WHEN `{step_column}` = '{on}' THEN {_expression(spec, schema, source)}"
+            f"WHEN `{step_column}` = '{on}' THEN {branch(_expression(spec, schema, source))}"
             for on, source in spec.on_step.items()
         )
         value = f"CASE {cases} ELSE {value} END"

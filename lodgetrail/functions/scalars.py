@@ -13,6 +13,11 @@ TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss"
 DAY_TEXT = "yyyy-MM-dd"
 
 
+# Whole number types, and text cut at its decimal point before it is read as one: '12.7' counts as 12.
+WHOLE = ("tinyint", "smallint", "short", "int", "integer", "bigint", "long")
+WHOLE_TEXT = r"regexp_replace({0}, r'^(\s*[+-]?\d+)\.\d*(\s*)$', '$1$2')"
+
+
 def lenient(value: Column, to: str | DataType) -> Column:
     """Cast; what does not parse or does not fit becomes NULL instead of an error."""
     return value.try_cast(to)

@@ -12,6 +12,22 @@ from workload.queries import CHECKED, DAY, FINISHED
 ORACLES: dict[str, str] = {}
 
 
+_WHOLE = r"regexp_extract(amount, '^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$', 1)"
+
+ORACLES["cast_decimal_text"] = f"""
+WITH lines AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE l_orderkey % 8
+    WHEN 0 THEN l_partkey || '.0' WHEN 1 THEN l_partkey || '.7' WHEN 2 THEN '-' || l_partkey || '.9'
+    WHEN 3 THEN ' ' || l_partkey || ' ' WHEN 4 THEN l_partkey || '.' WHEN 5 THEN '1e' || l_partkey
+    WHEN 6 THEN '7' || l_partkey || '000.5' ELSE '' END AS amount
+  FROM lineitem
+)
+SELECT *, TRY_CAST({_WHOLE} AS SMALLINT) AS as_smallint, TRY_CAST({_WHOLE} AS INTEGER) AS as_int,
+  TRY_CAST({_WHOLE} AS BIGINT) AS as_bigint
+FROM lines
+"""
+
+
 def status(k: str) -> str:
     return (
         f"CASE ({k}) % 5 WHEN 0 THEN 'BEST_COUPON' WHEN 1 THEN 'OTHER_COUPON'"

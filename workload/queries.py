@@ -30,6 +30,20 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 
 # Projections and scalar functions
 
+DECIMAL_TEXTS = ("%d.0", "%d.7", "-%d.9", " %d ", "%d.", "1e%d", "7%d000.5", "")
+
+
+@query
+def cast_decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with decimals to whole numbers: cut at the point, NULL where it is no number or does not fit."""
+    lines = nested.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.get(F.array(*[F.format_string(t, "l_partkey") if t else F.lit("") for t in DECIMAL_TEXTS]), (F.col("l_orderkey") % 8).cast("int"))
+        .alias("amount"),
+    )
+    whole = [rule(f"as_{kind}", "amount", kind) for kind in ("smallint", "int", "bigint")]
+    return columns.project(lines, [*columns.carry("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "amount"), *whole])
+
 
 @query
 def project_cast_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
