@@ -17,14 +17,17 @@ def attach(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key:
     return facts.join(dimension, same, "left")
 
 
-def broadcast_if_small(dimension: DataFrame, most_rows: int) -> DataFrame:
-    """The dimension marked for broadcast if a count finds it small enough, else as it is.
+def broadcast_if_small(dimension: DataFrame, most_bytes: int) -> DataFrame:
+    """The dimension marked for broadcast if its text and its rows come to few enough bytes, else as it is.
 
     Spark's own threshold is set for tables in general; facts are so much wider
     than a dimension of a few short columns that sparing their shuffle pays for
     far larger broadcasts.
     """
-    return F.broadcast(dimension) if dimension.count() <= most_rows else dimension
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in dimension.columns]
+    # What a row takes beside its texts, once it is part of a hashed relation.
+    held = dimension.select((sum(texts, F.lit(0)) + 64).alias("bytes")).agg(F.sum("bytes")).first()[0] or 0
+    return F.broadcast(dimension) if held <= most_bytes else dimension
 
 
 def ambiguous_keys(dimension: DataFrame, key: str) -> DataFrame:

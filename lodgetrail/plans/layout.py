@@ -323,15 +323,20 @@ LOCATION_OUT = [
 NOT_IN_OLDER = ("loc_hotel_code", "loc_mm_applied_listing")
 
 
-def fact_columns(has_location: bool) -> list[Rule]:
-    """The 184 fact columns before the dimension, in order."""
+def fact_columns(has_location: bool, has_rank: bool = True) -> list[Rule]:
+    """The 184 fact columns before the dimension, in order.
+
+    Server hotels without a rank are of a layout that has no search flag
+    either: there it is an empty string.
+    """
+    price = PRICE if has_rank else [*PRICE[:-1], replace(PRICE[-1], on_step={})]
     if has_location:
-        return [*COMMON, *PRICE, *COUPON, *LOCATION_OUT]
+        return [*COMMON, *price, *COUPON, *LOCATION_OUT]
     location = [
         replace(spec, source=null("string") if spec.target in NOT_IN_OLDER else EMPTY, convert=None, on_step={})
         for spec in LOCATION_OUT
     ]
-    return [*COMMON, *PRICE, *COUPON, *location]
+    return [*COMMON, *price, *COUPON, *location]
 
 
 def raw_paths() -> set[str]:

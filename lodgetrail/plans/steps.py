@@ -21,7 +21,7 @@ from lodgetrail.plans import layout as names
 # How events relate to their row ids.
 SHARED = "shared"  # several events may have one: compare across events
 UNIQUE = "unique"  # one event each: no shuffle
-FEW_SHARED = "few_shared"  # so few ids are shared that a table of them may be broadcast
+FEW_SHARED = "few_shared"  # few ids are shared: only their events are compared
 
 OFFER_ORDER = "offer"
 EVENT_PRICE_ORDER = "event_price"
@@ -49,10 +49,15 @@ def _structs_at(schema: StructType, path: str) -> Column:
     return scalars.typed_null(fallback)
 
 
+def has_rank(schema: StructType) -> bool:
+    """Whether server hotels have a rank. Where they were not opened, nothing depends on it."""
+    return columns.type_at(schema, "server") is None or columns.type_at(schema, "server.pd_htl_rank") is not None
+
+
 def _facts(opened: DataFrame, step: str | None) -> DataFrame:
     # The older layout's location is a constant text, not a struct.
     location = columns.type_at(opened.schema, names.LOCATION)
-    rules = names.fact_columns(isinstance(location, StructType))
+    rules = names.fact_columns(isinstance(location, StructType), has_rank(opened.schema))
     return columns.project(opened, rules, step)
 
 
@@ -107,12 +112,14 @@ def best_tariff(
     rank = [
         F.coalesce(F.col("_keys"), no_keys),
         *[F.col(c) for c in tie_break if c in schema.names],
-        # Events alike in all of that and in every column are interchangeable.
+        # The tariff with its coupons, then all flat columns: events alike in these give equal facts.
+        F.col("tariff"),
         F.expr(f"xxhash64({', '.join(flat)})"),
     ]
     if row_ids == SHARED:
         return pick.top_one(keyed, [names.ROW_ID], rank).drop("_keys")
-    few = F.broadcast(pick.shared_keys(events.select(names.ROW_ID), names.ROW_ID))
+    # No hint: Spark broadcasts the ids if it measures few, whatever the caller stated.
+    few = pick.shared_keys(events.select(names.ROW_ID), names.ROW_ID)
     alone = keyed.join(few, names.ROW_ID, "left_anti")
     rivals = keyed.join(few, names.ROW_ID, "left_semi")
     return alone.unionByName(pick.top_one(rivals, [names.ROW_ID], rank)).drop("_keys")
@@ -192,7 +199,7 @@ def other_facts(prepared: DataFrame, row_ids: str = SHARED, keep_unmatched: bool
         if row_ids == FEW_SHARED:
             few = pick.chosen_positions(narrow, names.ROW_ID, list(firsts), shared_only=True)
             few = few.withColumn("_is_shared", F.lit(True))
-            settled = events.join(F.broadcast(few), names.ROW_ID, "left").withColumn(
+            settled = events.join(few, names.ROW_ID, "left").withColumn(
                 "_chosen", F.when(F.col("_is_shared"), F.col("_chosen")).otherwise(own)
             )
         else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is set, as in tests."""
+    """The cluster's checkpoint folder; a temporary one only where none is set and all runs in one process, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; master is {master}")
         folder = f"file://{tempfile.gettempdir()}/lodgetrail"
     return folder.rstrip("/")
 

@@ -226,7 +226,8 @@ def test_dimension_is_broadcast_only_within_the_bound(spark, conf):
     conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
     facts = spark.createDataFrame([("1",)], "k string")
     dimension = spark.createDataFrame([("1", "A"), ("2", "B")], "d string, c string")
-    for bound, joined in ((2, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+    # Two rows of two letters and 64 bytes each.
+    for bound, joined in ((132, "BroadcastHashJoin"), (131, "SortMergeJoin")):
         out = enrich.attach(facts, enrich.broadcast_if_small(dimension, bound), "k", "d")
         assert joined in plan_of(out) and rows(out) == [("1", "1", "A")]
 

@@ -1,0 +1,116 @@
+"""Mixed layouts, dirty text, ties, and runs that fail."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgetrail.functions import columns
+from lodgetrail.functions.columns import rule
+from lodgetrail.operators import combine
+from lodgetrail.plans import day_job, layout, prepare, steps
+from lodgetrail.sources import readers, scratch, writers
+from tests.conftest import rows
+from tests.events import event, frame, server, tariff
+
+DAY = "2020-12-30"
+CITY = ("C", None, None, None)
+
+
+@pytest.mark.parametrize("older_first", [True, False])
+def test_a_day_of_both_layouts_keeps_its_location_columns(spark, tmp_path, older_first):
+    current = frame(spark, event("new", "detail", locus=CITY)).coalesce(1)
+    older = frame(spark, event("old", "detail")).drop("locus").coalesce(1)
+    folder = tmp_path / f"date_part={DAY}"
+    for name, df in (("a", older), ("b", current)) if older_first else (("a", current), ("b", older)):
+        df.write.parquet(str(tmp_path / name))
+        part = next(f for f in os.listdir(tmp_path / name) if f.endswith(".parquet"))
+        folder.mkdir(exist_ok=True)
+        (folder / f"{name}.parquet").write_bytes((tmp_path / name / part).read_bytes())
+    raw = readers.read_events(spark, str(tmp_path), DAY, layout.raw_paths())
+    out = steps.detail_facts(prepare.prepare_events(raw))
+    assert rows(out, "meta_row_id", "loc_city_code") == [("new", "C"), ("old", None)]
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "bigint"])
+def test_whole_numbers_from_decimal_text(spark, kind):
+    texts = {"5.0": 5, "12.7": 12, "-3.9": -3, " 5 ": 5, "5.": 5, "1e3": None, "": None, "x": None, "+7.2": 7, None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = columns.project(df, [rule("t"), rule("n", "t", kind)]).collect()
+    assert {r["t"]: r["n"] for r in out} == texts
+    too_large = spark.createDataFrame([("70000.5",)], "t string")
+    assert columns.project(too_large, [rule("n", "t", "smallint")]).collect() == [(None,)]
+
+
+@pytest.mark.parametrize("listing_only", [True, False])
+def test_a_text_price_neither_fails_nor_changes_types(spark, listing_only):
+    events = frame(
+        spark,
+        event("a", "listing", pd_htl_dtl_disp=[("h", 1, "2")], pd_htl_srvr_ls=[server("h", "1", 4.5)]),
+        event("b", "review", pd_htl_dtl_disp=[("h", 1, "2")], pd_htl_srvr_ls=[server("h", "1", 4.5)]),
+    )
+    for text in ("n/a", "6.5"):
+        raw = events.withColumn("prc_sell_amt_w_tax", F.lit(text))
+        hotels = spark.createDataFrame([], "mmt_hotel_id string, city_code string, htl_city_code string")
+        facts = day_job.day_facts(raw, hotels, DAY, listing_only=listing_only)
+        assert dict(facts.dtypes)["prc_sell_amt_w_tax"] == "double"
+        found = {(r["meta_row_id"], r["prc_sell_amt_w_tax"]) for r in facts.collect()}
+        assert found == {("a", 4.5), ("b", None if text == "n/a" else 6.5)}
+
+
+def test_numbers_win_over_text_in_a_union(spark):
+    a = spark.createDataFrame([("1.5",), ("n/a",)], "v string")
+    out = combine.union_branches(a, spark.createDataFrame([(2.5,)], "v double"))
+    assert dict(out.dtypes) == {"v": "double"} and rows(out, "v") == [(None,), (1.5,), (2.5,)]
+
+
+def test_events_that_differ_in_their_tariff_alone_are_not_a_tie(spark):
+    events = [event("a", "detail", pd_htl_trff_srvr_ls=[tariff(room, 5.0)]) for room in ("r2", "r1", "r3")]
+    for order in (events, events[::-1], events[1:] + events[:1]):
+        out = steps.detail_facts(prepare.prepare_events(frame(spark, *order)))
+        assert rows(out, "room_code") == [("r1",)]
+
+
+def test_search_flag_is_empty_where_server_hotels_have_no_rank(spark):
+    raw = frame(spark, event("a", "listing", pd_htl_dtl_disp=[("h", 1, "2")], pd_htl_srvr_ls=[server("h")]))
+    without = "transform(pd_htl_srvr_ls, x -> struct(x.pd_htl_id AS pd_htl_id, x.cpn_resp_htl_ls AS cpn_resp_htl_ls))"
+    out = lambda df: rows(steps.listing_facts(prepare.prepare_events(df)), "srvr_hotel_rank", "hotel_searched")
+    assert out(raw.withColumn("pd_htl_srvr_ls", F.expr(without))) == [(None, "")]
+    assert out(raw) == [(1, None)]
+
+
+@pytest.mark.parametrize("arrangement", ["local", "rebalance"])
+def test_a_failed_rerun_leaves_the_old_day(spark, tmp_path, arrangement):
+    good = spark.createDataFrame([("2020-12-30", "detail", "C", "r")], "browsing_date string, meta_fnnl_step string, htl_city_code string, meta_row_id string")
+    path = day_job.write_day(good, str(tmp_path), DAY, layout=arrangement)
+    bad = good.withColumn("x", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception):
+        day_job.write_day(bad, str(tmp_path), DAY, layout=arrangement)
+    assert spark.read.parquet(path).count() == 1 and "x" not in spark.read.parquet(path).columns
+    again = day_job.write_day(good.unionAll(good), str(tmp_path), DAY, layout=arrangement)
+    assert again == path and spark.read.parquet(path).count() == 2
+    assert spark.read.parquet(str(tmp_path)).count() == 2
+
+
+def test_committer_options_reach_the_writer(spark, tmp_path):
+    df = spark.createDataFrame([("d", 1)], "k string, v int")
+    # An unknown codec fails the write, so what is passed does arrive.
+    with pytest.raises(Exception):
+        writers.write_partitioned(df, str(tmp_path / "a"), ["k"], options={"compression": "no such codec"})
+    options = {"mapreduce.fileoutputcommitter.algorithm.version": "2", "compression": "gzip"}
+    writers.write_partitioned(df, str(tmp_path / "b"), ["k"], options=options)
+    assert any(f.endswith(".gz.parquet") for f in os.listdir(tmp_path / "b" / "k=d"))
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(ValueError):
+        scratch.shared_folder(Session)
+    Session.sparkContext.master = "local[4]"
+    assert scratch.shared_folder(Session).startswith("file:///")
