@@ -100,14 +100,14 @@ def _packed_shards(rows: DataFrame, shards: int, leaf: int) -> DataFrame:
 
 
 def _packed_queries(queries: DataFrame, parts: int) -> DataFrame:
-    """One row per block of queries; ``least`` is the score each must reach."""
+    """One row per block of queries, ``on`` shard 0; ``least`` is the score each must reach."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = {"query_ids": pdf["id"].to_numpy("i8"), "queries": vectors.matrix(pdf["vec"]), "least": pdf["least"].to_numpy("f8")}
-        return pd.DataFrame({n: [a.tobytes()] for n, a in parts.items()})
+        return pd.DataFrame({"on": [0]} | {n: [a.tobytes()] for n, a in parts.items()})
 
     dealt = queries.withColumn("block", vectors.dealt("id", parts))
-    return dealt.groupBy("block").applyInPandas(pack, "query_ids binary, queries binary, least binary")
+    return dealt.groupBy("block").applyInPandas(pack, "on int, query_ids binary, queries binary, least binary")
 
 
 def _searched(pairs: DataFrame, k: int) -> DataFrame:
@@ -155,7 +155,7 @@ def exact_top_k(
     queries = whole.where(is_query(F.col("id")))
     parts = vectors.blocks(queries.count(), block)
 
-    first = _packed_queries(queries.withColumn("least", F.lit(float("-inf"))), parts).withColumn("on", F.lit(0))
+    first = _packed_queries(queries.withColumn("least", F.lit(float("-inf"))), parts)
     pilot = tables.stored(_searched(first.join(trees, F.col("on") == F.col("shard")), k), "search-pilot")
     kth = pilot.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
     known = queries.join(kth, queries["id"] == kth["query_id"], "left").select(
