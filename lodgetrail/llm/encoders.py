@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from lodgetrail.llm.recent import Recent
 
 #: Stretches of a generation that a worker keeps (two at most), about 200 bytes each.
-KEPT = 400_000
+KEPT = 300_000
 
 # White space that only some libraries count as such; texts with it are cut by the careful patterns.
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")

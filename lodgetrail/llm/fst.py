@@ -30,7 +30,7 @@ _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
 _BPE = 2
 #: Stretches of a generation that a worker keeps (two at most), about 200 bytes each.
-KEPT = 400_000
+KEPT = 300_000
 _CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
