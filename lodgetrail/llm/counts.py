@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lodgetrail.llm import encoders
+from lodgetrail.llm import encoders, tables
 
 #: Lengths are summed in blocks this wide first, so no window holds more than a block or the list of blocks.
 BLOCK = 1024
@@ -37,6 +37,8 @@ def limit_table(hist: DataFrame) -> DataFrame:
     of the lower one for each id of the limit (``truncated_at``). An empty
     table gives no rows.
     """
+    # Read twice below: written, so that no text is encoded twice.
+    hist = tables.stored(hist.select("length", "documents"), "length-histogram")
     block = F.floor(F.col("length") / BLOCK).alias("block")
     sized = hist.select("length", "documents", (F.col("length") * F.col("documents")).alias("tokens"), block)
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
