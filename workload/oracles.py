@@ -279,7 +279,8 @@ def coupon_fields(code: str, state: str, j: str = "j") -> str:
   CASE WHEN {j} IS NOT NULL THEN {types_of(j)} ELSE '' END AS cpn_dis_types_arr"""
 
 
-def detail_facts(order: str) -> str:
+def detail_facts(order: str, keep_unmatched: bool = False) -> str:
+    unmatched = " OR chosen IS NULL" if keep_unmatched else ""
     coupons = "CASE WHEN pos IS NOT NULL THEN (s + pos) % 4 END"
     best, other = ("min(j) FILTER (WHERE state = '%s') OVER (PARTITION BY id)" % s for s in ("BEST_COUPON", "OTHER_COUPON"))
     return f"""{best_tariffs("(SELECT * FROM tr WHERE step = 'detail' AND id IS NOT NULL)", order)},
@@ -293,7 +294,7 @@ detail AS (
     CAST(NULL AS INT) AS srvr_hotel_rank, '' AS hotel_searched,
     {coupon_fields("'t' || (p + 10 * pos + j)", "state")},
     '' AS loc_region_codes_arr_srvr, 'E' || p AS loc_location_id
-  FROM dk WHERE j = chosen OR state IS NULL)"""
+  FROM dk WHERE j = chosen OR state IS NULL{unmatched})"""
 
 
 def listing_rows(name: str, where: str) -> str:
@@ -329,6 +330,13 @@ OFF_LISTING = f"""pd_htl_id AS hotel_id, {COMMON}, shown_id AS pd_htl_id_htdsp,
 LISTING_FACTS = f"""{listing_rows("ls", "step = 'listing'")},
 listing AS (SELECT {ON_LISTING} FROM ls)"""
 
+# The listing branch over all events but those of detail steps.
+ALL_LISTED = f"""{listing_rows("al", "step <> 'detail'")},
+listing AS (
+  SELECT {ON_LISTING} FROM al WHERE step = 'listing'
+  UNION ALL BY NAME
+  SELECT {OFF_LISTING} FROM al WHERE step <> 'listing')"""
+
 
 def other_facts() -> str:
     minima = ", ".join(
@@ -354,20 +362,15 @@ others AS (
 SELECTED = ", ".join(CHECKED)
 ORACLES["detail_step"] = f"WITH {detail_facts(BY_OFFER)} SELECT {SELECTED} FROM detail"
 ORACLES["detail_step_event_price"] = f"WITH {detail_facts(BY_EVENT_PRICE)} SELECT {SELECTED} FROM detail"
+ORACLES["detail_step_keep_unmatched"] = f"WITH {detail_facts(BY_OFFER, True)} SELECT {SELECTED} FROM detail"
 ORACLES["listing_step"] = f"WITH {EVENTS}, {LISTING_FACTS} SELECT {SELECTED} FROM listing"
-ORACLES["listing_step_all_events"] = f"""
-WITH {EVENTS}, {listing_rows("al", "step <> 'detail'")},
-both_kinds AS (
-  SELECT {ON_LISTING} FROM al WHERE step = 'listing'
-  UNION ALL BY NAME
-  SELECT {OFF_LISTING} FROM al WHERE step <> 'listing')
-SELECT {SELECTED} FROM both_kinds"""
+ORACLES["listing_step_all_events"] = f"WITH {EVENTS}, {ALL_LISTED} SELECT {SELECTED} FROM listing"
 ORACLES["other_steps"] = f"WITH {EVENTS}, {other_facts()} SELECT {SELECTED} FROM others"
 
 
-def day_facts(columns: str) -> str:
+def day_facts(columns: str, order: str = BY_OFFER, listing: str = LISTING_FACTS) -> str:
     return f"""
-WITH {detail_facts(BY_OFFER)}, {LISTING_FACTS}, {other_facts()}, {HOTELS},
+WITH {detail_facts(order)}, {listing}, {other_facts()}, {HOTELS},
 facts AS (
   SELECT * FROM detail UNION ALL BY NAME SELECT * FROM listing UNION ALL BY NAME SELECT * FROM others),
 finished AS (
@@ -384,3 +387,16 @@ OLDER = {
     c: f"'' AS {c}" for c in FINISHED if c.startswith("loc_")
 }
 ORACLES["day_job_older_layout"] = day_facts(", ".join(OLDER.get(c, c) for c in FINISHED))
+
+ORACLES["day_job_reference_mode"] = day_facts(", ".join(FINISHED), BY_EVENT_PRICE, ALL_LISTED)
+
+# Where a day holds both layouts, events of the older one have NULL locations; a listing row's are its server hotel's.
+LOCATED = "CAST(split_part(correlation_key, '-', 4) AS BIGINT) % 2 = 0"
+MIXED = {
+    c: f"CASE WHEN {LOCATED} THEN {c} END AS {c}"
+    for c in ("loc_city_code", "loc_poi_name", "loc_poi_lat")
+} | {
+    "loc_region_codes_arr": f"CASE WHEN {LOCATED} THEN loc_region_codes_arr ELSE '' END AS loc_region_codes_arr",
+    "loc_location_id": f"CASE WHEN {LOCATED} OR meta_fnnl_step = 'listing' THEN loc_location_id END AS loc_location_id",
+}
+ORACLES["day_mixed_layouts"] = day_facts(", ".join(MIXED.get(c, c) for c in FINISHED))

@@ -398,6 +398,11 @@ def detail_step_event_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.detail_facts(prepared(spark, sf_dir), steps.EVENT_PRICE_ORDER).select(*CHECKED)
 
 
+@query
+def detail_step_keep_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return steps.detail_facts(prepared(spark, sf_dir), keep_unmatched=True).select(*CHECKED)
+
+
 @query
 def listing_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.listing_facts(prepared(spark, sf_dir)).select(*CHECKED)
@@ -426,6 +431,27 @@ def day_job_older_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.day_facts(raw, hotels, DAY).select(*FINISHED)
 
 
+@query
+def day_job_reference_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tariffs by the event's price, and the other steps' events in the listing branch too."""
+    hotels = prepare.hotel_cities(nested.hotels(spark, sf_dir))
+    raw = nested.raw_events(spark, sf_dir)
+    facts = job.day_facts(raw, hotels, DAY, tariff_order=steps.EVENT_PRICE_ORDER, listing_only=False)
+    return facts.select(*FINISHED)
+
+
+@query
+def day_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose files hold both layouts: suppliers with odd keys write the older one."""
+    events = f"{scratch.fresh_path(spark, 'mixed')}/events"
+    raw = nested.raw_events(spark, sf_dir)
+    odd = F.substring_index("meta_rq_id", "-", -1).cast("bigint") % 2 == 1
+    nested.older(raw.where(odd)).write.parquet(f"{events}/date_part={DAY}")
+    raw.where(~odd).write.mode("append").parquet(f"{events}/date_part={DAY}")
+    day = readers.read_events(spark, events, DAY, layout.raw_paths())
+    return job.day_facts(day, prepare.hotel_cities(nested.hotels(spark, sf_dir)), DAY).select(*FINISHED)
+
+
 @query
 def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole day job from files to files: events and hotels written, facts read back."""
