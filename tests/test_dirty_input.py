@@ -58,6 +58,23 @@ def test_a_text_price_neither_fails_nor_changes_types(spark, listing_only):
         assert found == {("a", 4.5), ("b", None if text == "n/a" else 6.5)}
 
 
+@pytest.mark.parametrize("listing_only", [True, False])
+def test_a_declared_schema_holds_whatever_the_day_brings(spark, listing_only):
+    events = frame(
+        spark,
+        event("a", "listing", pd_htl_dtl_disp=[("h", 1, "2")], pd_htl_srvr_ls=[server("h", "1", 4.5)]),
+        event("b", "review", pd_htl_dtl_disp=[("h", 1, "2")], pd_htl_srvr_ls=[server("h", "1", 4.5)]),
+    )
+    hotels = spark.createDataFrame([], "mmt_hotel_id string, city_code string, htl_city_code string")
+    declared = day_job.day_facts(events, hotels, DAY).schema
+    assert len(declared) == 189
+    other = events.withColumn("srch_ap", F.lit("n/a")).withColumn("usr_mcid", F.lit(7)).drop("locus")
+    assert day_job.day_facts(other, hotels, DAY, listing_only=listing_only).schema != declared
+    facts = day_job.day_facts(other, hotels, DAY, listing_only=listing_only, schema=declared)
+    assert [(f.name, f.dataType) for f in facts.schema] == [(f.name, f.dataType) for f in declared]
+    assert {r["meta_row_id"] for r in facts.collect()} == {"a", "b"}
+
+
 def test_numbers_win_over_text_in_a_union(spark):
     a = spark.createDataFrame([("1.5",), ("n/a",)], "v string")
     out = combine.union_branches(a, spark.createDataFrame([(2.5,)], "v double"))

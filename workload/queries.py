@@ -452,13 +452,19 @@ def day_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.day_facts(day, prepare.hotel_cities(nested.hotels(spark, sf_dir)), DAY).select(*FINISHED)
 
 
-@query
-def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole day job from files to files: events and hotels written, facts read back."""
+def day_files(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Events and hotels written as the job's input, and where facts may go."""
     base = scratch.fresh_path(spark, "day")
-    events, hotels, out = f"{base}/events", f"{base}/hotels", f"{base}/facts"
+    events, hotels = f"{base}/events", f"{base}/hotels"
     nested.raw_events(spark, sf_dir).write.parquet(f"{events}/date_part={DAY}")
     writers.write_delimited(nested.hotels(spark, sf_dir), hotels, separator="|")
+    return events, hotels, f"{base}/facts"
+
+
+@query
+def fact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole day job from files to files: events and hotels written, facts read back."""
+    events, hotels, out = day_files(spark, sf_dir)
     path = job.run_day(spark, events, hotels, DAY, out)
     facts = spark.read.parquet(path).withColumn("browsing_date", F.col("browsing_date").cast("string"))
     return facts.select(*FINISHED)
