@@ -5,10 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodgetrail.llm import ann, counts, fst, kdtree, lm, orc_tokens, packing, quality, simhash, toxicity
+from lodgetrail.llm import (
+    ann, counts, fim, fst, kdtree, lm, orc_tokens, packing, quality, simhash, spelling, toxicity, urls,
+)
 from lodgetrail.llm.tables import table
 from lodgetrail.sources import scratch
 
+#: Host, path and verdict of the listed URLs.
+RULES = [
+    ("org", "/", urls.ALLOW),
+    ("example.org", "/es/", urls.BLOCK),
+    ("example.org", "/en/1", urls.BLOCK),
+    ("com", "/fr/", urls.ALLOW),
+    ("com", "/de/", urls.BLOCK),
+]
+
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
@@ -55,11 +66,24 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.exact_top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, 20)
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark, RULES))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_nearest_neighbours, op3_sentencepiece, op4_simhash, op5_lm_scoring, op6_packing,
         op7_token_files, op8_quality, op9_token_counts, op10_exact_top_k,
+        op11_url_filters, op12_fill_in_middle, op13_spelling_variants,
     )
 }
 
@@ -77,5 +101,51 @@ WITH whole AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored
 QUALIFY rank <= 20
+""",
+    "op11_url_filters": """
+WITH rules(rule_host, rule_path, listed) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), cut AS (
+  SELECT page_id, coalesce(strpos(url, '://'), 0) AS mark, substr(url, strpos(url, '://') + 3) AS rest FROM pages
+), sites AS (
+  SELECT page_id,
+    CASE WHEN mark > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN mark > 0 THEN regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') ELSE '' END AS path
+  FROM cut
+), fitted AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(listed, length(rule_host || rule_path)) AS listed
+  FROM (SELECT DISTINCT host, path FROM sites)
+  JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path
+)
+SELECT page_id, host, path, rule, coalesce(listed, 'allow') AS verdict FROM sites LEFT JOIN fitted USING (host, path)
+""",
+    "op12_fill_in_middle": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS drawn FROM documents
+), units AS (
+  SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS parts,
+    CAST('0x' || drawn[1:8] AS BIGINT) AS h1, CAST('0x' || drawn[9:16] AS BIGINT) AS h2,
+    CAST('0x' || drawn[17:24] AS BIGINT) AS h3, CAST('0x' || drawn[25:32] AS BIGINT) AS h4
+  FROM texts
+), cuts AS (
+  SELECT *, least(h1 % (len(parts) + 1), h2 % (len(parts) + 1)) AS a, greatest(h1 % (len(parts) + 1), h2 % (len(parts) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units
+), split AS (
+  SELECT *, array_to_string(parts[1:a], '') AS prefix, array_to_string(parts[a + 1:b], '') AS middle,
+    array_to_string(parts[b + 1:], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, CAST(len(parts) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM split
 """,
 }

@@ -1,0 +1,78 @@
+"""URL verdicts against every rule tried on every URL."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lodgetrail.llm import urls
+
+RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"), ("Example.NET", None, "block"), ("a.example.net", "/x", "allow"), ("a.example.net", "/x", "block"),
+    (None, "/", "block"), ("", "/", "block"), ("void.com", "/", None), ("é.com", "/ü", "block"),
+]
+URLS = [
+    None, "", "no mark", "://", "x://", "http://org", "http://org/", "https://EXAMPLE.org/es/1?q=/en/1#f", "http://example.org/es",
+    "http://badexample.org/es/", "http://a.b.example.org/en/12", "http://example.com/fr/x", "http://example.com/de/x",
+    "http://example.com?/de/", "http://example.com#/de/", "ftp://example.net", "http://w.example.net/a", "http://a.example.net/x/y",
+    "http://a.example.net/X", "http://É.com/ü", "http://é.com/ü1", "http://x.é.com/ü", "http://org./", "http://.org/", "http://a://b.org/",
+    "http://void.com/", "http://example.org:80/es/", "http://line\nbreak.org/a\nb?c", "http://com/de/" + "x" * 100_000, "http://" + "a." * 3000 + "org/",
+]
+
+
+def judge(url, rules):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fitting = []
+    for rule_host, rule_path, verdict in rules:
+        rule_host, rule_path = (rule_host or "").lower(), rule_path or ""
+        if rule_host and verdict and (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path):
+            fitting.append((len(rule_host + rule_path), len(rule_host), verdict, rule_host + rule_path))
+    best = max(fitting, default=None)
+    return host, path, best and best[3], best[2] if best else "allow"
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 20])
+def test_verdicts_of_hard_urls(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(urls, "BROADCAST_RULES", broadcast)
+    rows = [(n if n % 7 else None, u, "h", "r", 1) for n, u in enumerate(URLS * 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, rule string, site int")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    got = Counter(tuple(r) for r in urls.judged(pages, rules).collect())
+    assert got == Counter((i, *judge(u, RULES)) for i, u, *_ in rows)
+    assert urls.judged(pages.limit(0), rules).count() == 0
+    unlisted = urls.judged(pages, rules.limit(0), default="block").select("rule", "verdict").distinct().collect()
+    assert [tuple(r) for r in unlisted] == [(None, "block")]
+
+
+def test_many_rules_over_crowded_and_roomy_filters(spark, monkeypatch):
+    rules = [(f"h{n % 97}.example.{'com' if n % 2 else 'org'}", f"/p{n}/" if n % 3 else "", "block") for n in range(2000)]
+    tried = [f"http://{'w.' * (n % 3)}h{n % 131}.example.{'com' if n % 5 else 'org'}/p{n % 2500}/x" for n in range(3000)]
+    pages = spark.createDataFrame(list(enumerate(tried)), "page_id long, url string")
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    expected = {(n, *judge(u, rules)) for n, u in enumerate(tried)}
+    for most in (1, urls.MOST_BLOCKS):
+        monkeypatch.setattr(urls, "MOST_BLOCKS", most)
+        assert {tuple(r) for r in urls.judged(pages, table).collect()} == expected
+
+
+def test_the_filter_passes_all_listed_and_few_others(spark):
+    rules = spark.range(20_000).select(F.concat(F.lit("h"), "id").alias("rule_host"), F.lit("/").alias("rule_path"))
+    others = spark.range(20_000).select(F.concat(F.lit("x"), "id").alias("rule_host"), F.lit("/").alias("rule_path"))
+    assert urls.possible_hits(rules, rules, 20_000).count() == 20_000
+    assert urls.possible_hits(others, rules, 20_000).count() < 200
+
+
+def test_nothing_leaves_the_jvm(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    plan = urls.judged(pages, urls.rule_table(spark, [("org", "/", "allow")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "html" not in plan  # only the two columns are read
