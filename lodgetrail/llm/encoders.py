@@ -18,11 +18,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
-from lodgetrail.llm.recent import Recent
+from lodgetrail.llm.recent import Known
 
-#: Stretches of a generation that a worker keeps (two at most), about 200 bytes each.
-KEPT = 300_000
+#: Bytes of a generation of stretches that a worker keeps, of two generations at most.
+KEPT = 64 << 20
 
 # White space that only some libraries count as such; texts with it are cut by the careful patterns.
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
@@ -30,11 +31,18 @@ _WORDS = re.compile(r"[^ \t\n\r\f\v]+")
 _ODD_SPACE = re.compile(r"[^\S \n]|\s\s")
 _LED = re.compile(r"\s*\S+(?:[^\S \t\n\r]\s*\S*)*|\s+")
 
+# Signs that, behind a word, every pattern below takes for one token. An apostrophe may be part of one.
+_BEHIND = "".join(chr(n) for n in range(33, 127) if not chr(n).isalnum() and chr(n) != "'")
+# Letters from here on are left to the whole tokenizer.
+_FAR = "\u0250"
+
 # How byte-level vocabularies split a text, and the signs they write bytes with.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-_SPACE, _BREAK = _BYTE_SIGNS[32], _BYTE_SIGNS[10]
+_SPACE = _BYTE_SIGNS[32]
+#: The signs of the bytes of each letter that is not left to the whole tokenizer.
+_SIGNS = {n: "".join(_BYTE_SIGNS.get(b, chr(b)) for b in chr(n).encode()) for n in range(ord(_FAR))}
 
 #: How a vocabulary may be cut.
 LED = "led"  # byte-level: before a run of white space, which then leads its stretch
@@ -46,49 +54,102 @@ def model_text(path: str) -> str:
         return file.read()
 
 
+def uncached_model(spec: dict) -> BPE:
+    """The merging model of a vocabulary, without the library's own table of the words it has merged."""
+    if spec["type"] != "BPE":
+        raise ValueError(f"only models that merge are supported, not {spec['type']}")
+    options = {k: v for k, v in spec.items() if k not in ("type", "vocab", "merges") and v is not None}
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
+    return BPE(spec["vocab"], pairs, cache_capacity=0, **options)
+
+
+def added_ids(listed: list[dict]) -> dict[str, bytes]:
+    """The id of each string that a vocabulary finds in a text before anything else."""
+    for token in listed:
+        if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added tokens are only supported as they stand, unlike {token}")
+    return {token["content"]: array("I", [token["id"]]).tobytes() for token in listed}
+
+
 class Encoder:
     """Whole texts to ids as little-endian unsigned 32-bit bytes.
 
-    For vocabularies that merge the bytes of a text.
+    For vocabularies that merge the bytes of a text. Added tokens, such as the
+    one for a text's end, are found in a text as the library finds them.
     """
 
     def __init__(self, model: str, cut: str, kept: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+        spec = json.loads(model)
         self.tokenizer = Tokenizer.from_str(model)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = cut
-        splits = json.loads(model)["pre_tokenizer"].get("pretokenizers", [{}])
-        own = splits[0].get("pattern", {}).get("Regex")
+        # Stretches are kept here, so the model need not keep them too.
+        self.tokenizer.model = uncached_model(spec["model"])
         self.merge = self.tokenizer.model.tokenize
-        self.tokens = regex.compile(own or BYTE_LEVEL).findall
-        self.lower = cut == WORDS
-        self.plain = Recent(kept if cut == WORDS else kept // 4, lambda words: map(self._ids, words))
-        self.spaced = Recent(kept, lambda words: map(self._ids, [w if w[:1] == "\n" else f" {w}" for w in words]))
+        self.added = added_ids(spec["added_tokens"])
+        marks = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(f"({'|'.join(map(re.escape, marks))})").split
+        splits = spec["pre_tokenizer"].get("pretokenizers", [{}])
+        self.tokens = regex.compile(splits[0].get("pattern", {}).get("Regex") or BYTE_LEVEL).findall
+        self.cut, self.lower = cut, cut == WORDS
+        #: Stretches as they stand, and by what follows the one space they begin with.
+        self.plain = Known(kept if self.lower else kept // 4, self._alone)
+        self.spaced = Known(kept, self._after_space)
+
+    def _merged(self, signs: str) -> bytes:
+        return array("I", [t.id for t in self.merge(signs)]).tobytes()
+
+    def _after_space(self, rest: str) -> bytes:
+        if rest[:1] == "\n":
+            return self._ids(rest)
+        return self._word(rest, _SPACE, self.spaced) or self._ids(f" {rest}")
+
+    def _alone(self, stretch: str) -> bytes:
+        if self.lower and not stretch.islower() and (stretch.isascii() or max(stretch) < _FAR):
+            lowered = stretch.lower()
+            if lowered != stretch:
+                return self.plain[lowered]
+        return self._word(stretch, "", self.plain) or self._ids(stretch)
+
+    def _word(self, stretch: str, space: str, known: Known) -> bytes:
+        """Ids of a word, with signs behind it or without; none for other stretches."""
+        letters = stretch.rstrip(_BEHIND)
+        if not letters.isalpha():
+            return b""
+        ascii = letters.isascii()
+        if not ascii and max(letters) >= _FAR:
+            return b""
+        if len(letters) < len(stretch):
+            return known[letters] + self.plain[stretch[len(letters) :]]
+        return self._merged(space + (letters if ascii else letters.translate(_SIGNS)))
 
     def _ids(self, stretch: str) -> bytes:
-        """Ids of one stretch: split as the vocabulary says and merged by its model, or by the whole tokenizer for rarer letters."""
-        plain = stretch.isascii() and (stretch.isprintable() or stretch[0] == "\n" and stretch[1:].isprintable())
-        if not plain and (max(stretch) >= "\u0250" or _RARE.search(stretch)):
+        """Ids of one stretch, put together from those of its tokens, or found by the whole tokenizer for rarer letters."""
+        if not stretch.isascii() and (max(stretch) >= _FAR or _RARE.search(stretch)):
             return array("I", self.tokenizer.encode_batch_fast([stretch], add_special_tokens=False)[0].ids).tobytes()
-        if self.lower:
-            stretch = stretch.lower()
-        one_word = stretch[1:].isalpha() and (stretch[0] == " " or stretch[0].isalpha())
-        merge, ids = self.merge, array("I")
-        for token in [stretch] if one_word else self.tokens(stretch):
-            signs = token.replace(" ", _SPACE).replace("\n", _BREAK) if plain else token.encode().decode("latin-1").translate(_BYTE_SIGNS)
-            ids.extend([t.id for t in merge(signs)])
-        return ids.tobytes()
+        tokens = self.tokens(stretch)
+        if len(tokens) > 1:
+            # A token that begins with a space goes on with other signs: it is a stretch too.
+            return b"".join([self.spaced[t[1:]] if t[0] == " " and not t.isspace() else self.plain[t] for t in tokens])
+        return b"".join([self._merged(t.translate(_SIGNS)) for t in tokens])
 
     def encode(self, text: str) -> bytes:
+        for mark in self.added:
+            if mark in text:
+                parts = self.split(text)
+                return b"".join([self.added[p] if p in self.added else self._encode(p) for p in parts if p])
+        return self._encode(text)
+
+    def _encode(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if self.cut == WORDS:
             parts = _WORDS.findall(text) if _RARE.search(text) else text.split()
-            return b"".join(self.plain.look(parts))
+            return b"".join(map(self.plain.__getitem__, parts))
         if _ODD_SPACE.search(text):
-            return b"".join(self.plain.look(_LED.findall(text)))
+            return b"".join(map(self.plain.__getitem__, _LED.findall(text)))
         # One space or line break between words: words stand for themselves with the space before them.
         first, *parts = text.replace("\n", " \n").split(" ")
-        start = self.plain.look([first])[0] if first else b""
-        return start + b"".join(self.spaced.look(parts))
+        start = self.plain[first] if first else b""
+        return start + b"".join(map(self.spaced.__getitem__, parts))
 
 
 _made: dict[tuple[str, str], Encoder] = {}

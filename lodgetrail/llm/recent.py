@@ -32,3 +32,35 @@ class Recent:
         if rest:
             self.young.update(zip(rest, self.make(rest)))
         return list(map(self.young.__getitem__, keys))
+
+
+class Known(dict):
+    """Values by text, made when first asked for and kept within a bound of bytes.
+
+    ``make(text)`` is called for what is not known, and may ask for other texts
+    itself. Texts over ``LONGEST`` letters are made each time. When a generation
+    holds ``kept`` bytes, the one before it goes; what is asked for again moves
+    on to the newer one, so common texts stay.
+    """
+
+    LONGEST = 64
+    #: What an entry takes beside its text and its value.
+    ENTRY = 200
+
+    def __init__(self, kept: int, make: Callable[[str], bytes]):
+        self.kept, self.make = kept, make
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.old.get(text)
+        if value is None:
+            value = self.make(text)
+            if len(text) > self.LONGEST:
+                return value
+        self.held += self.ENTRY + 4 * len(text) + len(value)
+        if self.held > self.kept:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self[text] = value
+        return value

@@ -22,7 +22,6 @@ SCHEMA = "doc_id long, text string"
 
 def plain(path: str, text: str | None) -> list[int]:
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -32,6 +31,13 @@ def odd_texts(n: int) -> list[str]:
     return ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(n)]
 
 
+def marked_texts(n: int) -> list[str]:
+    """Texts that hold the vocabularies' added tokens, whole and in part, also next to each other."""
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<", "|>", " ", "  ", "\n", "a", "'s", "é", "漢", "."]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(n)]
+
+
 @pytest.fixture(scope="module")
 def hard(spark):
     # Columns whose names clash with those of the results.
@@ -40,12 +46,12 @@ def hard(spark):
 
 
 @pytest.mark.parametrize("path,cut", [(BYTE, encoders.LED), (WORD, encoders.WORDS)])
-@pytest.mark.parametrize("kept", [5, 100_000])
+@pytest.mark.parametrize("kept", [5, 2_000, 10 << 20])
 def test_cut_texts_have_the_ids_of_the_whole(path, cut, kept):
     encoder = encoders.Encoder(encoders.model_text(path), cut, kept)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    texts = odd_texts(1500) + [t for _, t in HARD if t]
+    texts = odd_texts(1500) + [t for _, t in HARD if t] + marked_texts(1500)
+    texts += ["x'll  'll 's\n's Don'T \n 't we've  \t!'s ''s ' s", "one two,two two, (two) TWO Two2two", "漢字" * 3000, "Ab," * 9000]
     for text, whole in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
         assert encoders.ids_of(encoder.encode(text)).tolist() == whole.ids, repr(text)
 
