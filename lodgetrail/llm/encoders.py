@@ -23,7 +23,7 @@ from tokenizers.models import BPE
 from lodgetrail.llm.recent import Known
 
 #: Bytes of a generation of stretches that a worker keeps, of two generations at most.
-KEPT = 64 << 20
+KEPT = 96 << 20
 
 # White space that only some libraries count as such; texts with it are cut by the careful patterns.
 _RARE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
@@ -152,14 +152,14 @@ class Encoder:
         return start + b"".join(map(self.spaced.__getitem__, parts))
 
 
-_made: dict[tuple[str, str], Encoder] = {}
+_made: dict[tuple[str, str, int], Encoder] = {}
 
 
-def worker_encoder(model: str, cut: str) -> Encoder:
+def worker_encoder(model: str, cut: str, kept: int = KEPT) -> Encoder:
     """This worker's encoder; what it has learnt stays for the worker's next task."""
-    key = (hashlib.md5(model.encode()).hexdigest(), cut)
+    key = (hashlib.md5(model.encode()).hexdigest(), cut, kept)
     if key not in _made:
-        _made[key] = Encoder(model, cut)
+        _made[key] = Encoder(model, cut, kept)
     return _made[key]
 
 
@@ -170,13 +170,17 @@ def map_encoded(
     each: Callable[[pa.RecordBatch, list[bytes]], pa.RecordBatch],
     schema: str,
     text: str = "text",
+    kept: int = KEPT,
 ) -> DataFrame:
-    """``each(batch, ids of its texts)`` over all rows. A NULL text counts as empty."""
+    """``each(batch, ids of its texts)`` over all rows. A NULL text counts as empty.
+
+    Workers keep up to ``kept`` bytes of stretches in a generation.
+    """
     spark: SparkSession = docs.sparkSession
     model = spark.sparkContext.broadcast(model_text(path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(model.value, cut)
+        encoder = worker_encoder(model.value, cut, kept)
         for batch in batches:
             # A few texts at a time keep long texts from adding up.
             for at in range(0, batch.num_rows, 512):

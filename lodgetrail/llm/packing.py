@@ -30,7 +30,9 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECES}, part int, bin int, offset long, fill long, bins long, bound long"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def cut_pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, kept: int = encoders.KEPT
+) -> DataFrame:
     """Every whole text as pieces of at most ``capacity`` ids, the end id included.
 
     Only longer documents are cut, into pieces of ``capacity`` after a first
@@ -53,7 +55,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return encoders.map_encoded(whole, tokenizer, encoders.LED, cut, _PIECES)
+    return encoders.map_encoded(whole, tokenizer, encoders.LED, cut, _PIECES, kept=kept)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
@@ -170,7 +172,9 @@ def pack_pieces(
     return result, history
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """All documents as pieces placed in sequences, gapless from offset 0."""
-    pieces = tables.stored(cut_pieces(docs, tokenizer, capacity), "pieces")
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, kept: int = encoders.KEPT
+) -> DataFrame:
+    """All documents as pieces placed in sequences, gapless from offset 0; ``kept`` as in ``encoders``."""
+    pieces = tables.stored(cut_pieces(docs, tokenizer, capacity, kept=kept), "pieces")
     return pack_pieces(pieces, capacity)[0]

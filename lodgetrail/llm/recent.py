@@ -44,8 +44,8 @@ class Known(dict):
     """
 
     LONGEST = 64
-    #: What an entry takes beside its text and its value.
-    ENTRY = 200
+    #: What an entry takes beside its letters and its value.
+    ENTRY = 160
 
     def __init__(self, kept: int, make: Callable[[str], bytes]):
         self.kept, self.make = kept, make
@@ -58,7 +58,7 @@ class Known(dict):
             value = self.make(text)
             if len(text) > self.LONGEST:
                 return value
-        self.held += self.ENTRY + 4 * len(text) + len(value)
+        self.held += self.ENTRY + 2 * len(text) + len(value)
         if self.held > self.kept:
             self.old, self.held = dict(self), 0
             self.clear()
