@@ -23,7 +23,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    # The stages share their workers, and what these keep adds up.
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kept=48 << 20)
 
 
 STAGES = [
