@@ -12,6 +12,7 @@ is a CASE on the step column.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -110,15 +111,27 @@ def _expression(spec: Rule, schema: StructType, source: Source) -> str:
     return CONVERSIONS.get(spec.convert, f"try_cast({{0}} AS {spec.convert})").format(value)
 
 
+def _constant_type(constant: Constant) -> DataType:
+    cast = re.fullmatch(r"CAST\(NULL AS (.+)\)", constant.sql)
+    return DataType.fromDDL(cast[1]) if cast else StringType()
+
+
 def _case_type(spec: Rule, schema: StructType) -> str | None:
-    """What all branches of an unfolded CASE are converted to, where their sources are of unlike types.
+    """What all branches of an unfolded CASE are converted to, where they are of unlike types.
 
-    Numbers win over text, and text over the rest; unlike numbers become double.
+    As where branches are put together by union: unlike numbers widen, which
+    Spark does by itself; numbers win over text, and text over the rest.
     """
-    if spec.convert is not None:
+    if spec.convert not in (None, "first"):
         return None
-    found = {type_at(schema, s) for s in spec.sources() if isinstance(s, str)} - {None}
-    if len(found) < 2:
+    missing = _missing_type(spec, schema)
+    found = set()
+    for source in spec.sources():
+        held = _constant_type(source) if isinstance(source, Constant) else type_at(schema, source)
+        if held is None:
+            held = StringType() if missing == "string" else missing
+        found.add(held.elementType if spec.convert == "first" and isinstance(held, ArrayType) else held)
+    if len(found) < 2 or all(isinstance(t, NumericType) for t in found):
         return None
     return "double" if any(isinstance(t, NumericType) for t in found) else "string"
 

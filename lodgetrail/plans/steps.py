@@ -40,7 +40,7 @@ STATUS = "cpn_status"
 TIE_BREAK = ("record_pdt_ts", "meta_rq_id")
 
 
-def _structs_at(schema: StructType, path: str) -> Column:
+def structs_at(schema: StructType, path: str) -> Column:
     """An array of structs, or a NULL one where the input has none there."""
     found = columns.type_at(schema, path)
     if isinstance(found, ArrayType):
@@ -54,14 +54,19 @@ def has_rank(schema: StructType) -> bool:
     return columns.type_at(schema, "server") is None or columns.type_at(schema, "server.pd_htl_rank") is not None
 
 
-def _facts(opened: DataFrame, step: str | None) -> DataFrame:
+def fact_rules(schema: StructType) -> list[columns.Rule]:
+    """The rules of the fact columns, for opened events of this schema."""
     # The older layout's location is a constant text, not a struct.
-    location = columns.type_at(opened.schema, names.LOCATION)
-    rules = names.fact_columns(isinstance(location, StructType), has_rank(opened.schema))
-    return columns.project(opened, rules, step)
+    location = columns.type_at(schema, names.LOCATION)
+    return names.fact_columns(isinstance(location, StructType), has_rank(schema))
+
+
+def _facts(opened: DataFrame, step: str | None) -> DataFrame:
+    return columns.project(opened, fact_rules(opened.schema), step)
 
 
-def _tariff_order(order: str, schema: StructType):
+def tariff_order(order: str, schema: StructType):
+    """The sort keys of a tariff, by the order's name."""
     fields = columns.type_at(schema, names.TARIFFS)
     held = fields.elementType.names if isinstance(fields, ArrayType) else []
 
@@ -97,8 +102,8 @@ def best_tariff(
     without tariffs ranking last (under ``event_price``: as unflagged ones).
     """
     schema = events.schema
-    tariffs = _structs_at(schema, names.TARIFFS)
-    ranked_by = _tariff_order(order, schema)
+    tariffs = structs_at(schema, names.TARIFFS)
+    ranked_by = tariff_order(order, schema)
     keyed = events.withColumn("_keys", arrays.least_keys(tariffs, ranked_by)).withColumn(
         "tariff", F.get(tariffs, F.col("_keys.position"))
     )
@@ -140,7 +145,7 @@ def detail_facts(
     events = prepared.where(filters.on_step(F.col(names.STEP), names.DETAIL) & F.col(names.ROW_ID).isNotNull())
     won = best_tariff(events, tariff_order, row_ids, tie_break)
     # One event per row id is left, so its own coupons decide.
-    coupons = _structs_at(won.schema, f"tariff.{names.TARIFF_COUPONS}")
+    coupons = structs_at(won.schema, f"tariff.{names.TARIFF_COUPONS}")
     firsts = arrays.first_positions(coupons, STATUS, names.DETAIL_PRIORITIES)
     picked = arrays.picked_elements(coupons, F.coalesce(*firsts), STATUS, keep_unmatched)
     return _facts(_open_coupons(won, picked), names.DETAIL)
@@ -153,7 +158,7 @@ def display_expanded(prepared: DataFrame) -> DataFrame:
 
 
 def _expand_display(events: DataFrame) -> DataFrame:
-    displayed = _structs_at(events.schema, names.DISPLAYED)
+    displayed = structs_at(events.schema, names.DISPLAYED)
     return arrays.open_array(events, displayed, "shown", position="pos").where(
         filters.needs_on_step(F.col(names.STEP), names.LISTING, F.col("shown.pd_htl_id"))
     )
@@ -168,11 +173,11 @@ def listing_facts(prepared: DataFrame, listing_only: bool = True) -> DataFrame:
     step = F.col(names.STEP)
     on = filters.on_step(step, names.LISTING) if listing_only else filters.off_steps(step, names.DETAIL)
     events = prepared.where(on)
-    displayed = _structs_at(events.schema, names.DISPLAYED)
-    hotels = _structs_at(events.schema, names.SERVER_HOTELS)
+    displayed = structs_at(events.schema, names.DISPLAYED)
+    hotels = structs_at(events.schema, names.SERVER_HOTELS)
     pairs = arrays.matched_pairs(displayed, hotels, "pd_htl_id", ("pos", "shown", "server"))
     matched = events.withColumn("_pair", F.explode(pairs)).select("*", "_pair.*").drop("_pair")
-    coupons = _structs_at(matched.schema, f"server.{names.SERVER_COUPONS}")
+    coupons = structs_at(matched.schema, f"server.{names.SERVER_COUPONS}")
     kept = arrays.kept_elements(
         coupons, lambda c, _: filters.is_or_null(c.getField(STATUS), names.LISTING_STATUS)
     )
@@ -188,7 +193,7 @@ def other_facts(prepared: DataFrame, row_ids: str = SHARED, keep_unmatched: bool
     events = prepared.where(
         filters.off_steps(step, names.DETAIL, names.LISTING) & F.col(names.ROW_ID).isNotNull()
     )
-    coupons = _structs_at(events.schema, names.EVENT_COUPONS)
+    coupons = structs_at(events.schema, names.EVENT_COUPONS)
     priorities = arrays.first_positions(coupons, STATUS, names.OTHER_PRIORITIES)
     firsts = {f"_first{n}": position for n, position in enumerate(priorities)}
     own = F.coalesce(*priorities)

@@ -1,11 +1,14 @@
 """The steps and the day job on hand-written events."""
 
+import os
+import shutil
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from lodgetrail.plans import day_job, layout, prepare, steps
+from lodgetrail.operators import combine
+from lodgetrail.plans import day_job, layout, one_scan, prepare, steps
 from lodgetrail.sources import readers, writers
 from tests.conftest import plan_of, rows
 from tests.events import MILLIS, coupon, event, frame, server, tariff
@@ -209,6 +212,41 @@ def test_events_without_any_of_the_arrays(spark):
     assert rows(steps.other_facts(p), "meta_row_id", "cpn_cd") == [("c", None)]
 
 
+@pytest.mark.parametrize("keep_unmatched", [False, True])
+@pytest.mark.parametrize("order", [steps.OFFER_ORDER, steps.EVENT_PRICE_ORDER])
+def test_one_pass_gives_what_the_branches_give(spark, order, keep_unmatched):
+    coupons = [coupon("c1", "OTHER_COUPON"), coupon("c2", "BEST_COUPON"), coupon("c3"), coupon("c4", "RECOMMEND")]
+    events = [
+        event("a", "detail", pd_htl_trff_srvr_ls=[tariff("r1", 3.0), tariff("r2", 2.0, True, coupons), tariff("r3", 1.0)]),
+        event("b", "detail", pd_htl_trff_srvr_ls=[tariff("r1", None, None, [])], cpn_resp_ls=coupons),
+        event("c", "detail", pd_htl_dtl_disp=SHOWN), event(None, "detail"), event("d", "detail", pd_htl_trff_srvr_ls=[]),
+        event("e", "listing", pd_htl_dtl_disp=SHOWN, pd_htl_srvr_ls=[server("h1", coupons=coupons), server("h2"), server("h1", "9")]),
+        event(None, "listing", pd_htl_dtl_disp=SHOWN, pd_htl_srvr_ls=[server("h2", coupons=[coupon("x", "OTHER_COUPON")])]),
+        event("f", "listing", pd_htl_dtl_disp=SHOWN), event("g", "listing"),
+        event("h", "review", pd_htl_dtl_disp=SHOWN, cpn_resp_ls=coupons), event("i", "review", cpn_resp_ls=coupons[2:]),
+        event("j", "thankyou", pd_htl_dtl_disp=[], cpn_resp_ls=[]), event(None, "review", cpn_resp_ls=coupons), event("k", None),
+        event("l", "review", cpn_resp_ls=coupons[3:]),
+    ]
+    arrays_of = ("pd_htl_trff_srvr_ls", "pd_htl_srvr_ls", "pd_htl_dtl_disp", "cpn_resp_ls")
+    whole = frame(spark, *events)
+    text_prices = whole.withColumn("prc_sell_amt_w_tax", F.lit("7.5")).withColumn("pd_htl_fc", F.lit("yes"))
+    for raw in (whole, whole.drop("locus"), whole.drop(*arrays_of), text_prices, whole.limit(0), *[whole.drop(c) for c in arrays_of]):
+        p = prepare.prepare_events(raw)
+        branches = combine.union_branches(
+            steps.detail_facts(p, order, steps.UNIQUE, keep_unmatched), steps.listing_facts(p),
+            steps.other_facts(p, steps.UNIQUE, keep_unmatched),
+        )
+        once = one_scan.unique_facts(p, order, keep_unmatched)
+        assert once.dtypes == branches.dtypes
+        assert rows(once) == rows(branches)
+
+
+def test_one_pass_reads_the_events_once_and_shuffles_nothing(spark, folders):
+    raw = readers.read_events(spark, folders[0], DAY, layout.raw_paths())
+    plan = plan_of(one_scan.unique_facts(prepare.prepare_events(raw)))
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
+
+
 # Dimension, day job and sink
 
 
@@ -271,6 +309,63 @@ def test_day_job_and_rerun(spark, folders, arrangement):
     assert rows(facts.select("event_date", "meta_row_type").distinct()) == [(date(2020, 12, 30), 0)]
 
 
+def stopped_after(monkeypatch, calls):
+    """Let the process end after so many moves of folders."""
+    real, left = writers._moved, [calls]
+
+    def moved(*args):
+        if not left[0]:
+            raise KeyboardInterrupt
+        left[0] -= 1
+        real(*args)
+
+    monkeypatch.setattr(writers, "_moved", moved)
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_a_run_stopped_between_two_moves_is_finished_by_the_next(spark, folders, monkeypatch, moves):
+    events, hotels, out = folders
+    path = day_job.run_day(spark, events, hotels, DAY, out)
+    write_events(spark, events, event("n", "review", pd_htl_id="h1"))
+    with monkeypatch.context() as patched:
+        stopped_after(patched, moves)
+        with pytest.raises(KeyboardInterrupt):
+            day_job.run_day(spark, events, hotels, DAY, out)
+    files = os.listdir(out.removeprefix("file://"))
+    assert (f"event_date={DAY}" in files) == (moves == 0)
+    assert writers.finish_replacing(spark, path) and not writers.finish_replacing(spark, path)
+    assert written(spark, path) == sorted([*EXPECTED, ("2020-12-30", "review", "n", "DEL")], key=str)
+    assert [f for f in os.listdir(out.removeprefix("file://")) if not f.startswith(".")] == [f"event_date={DAY}"]
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_a_move_file_by_file_that_was_stopped(spark, tmp_path, lost):
+    """As on stores without folders: the fresh folder is copied, then removed file by file."""
+    base = f"file://{tmp_path}"
+    for name, n in (("day", 3), ("_fresh", 5)):
+        spark.range(n).repartition(2).write.parquet(f"{base}/{name}")
+    target, files = writers._folder(spark, f"{base}/day")
+    count, size = writers._held(files, writers._folder(spark, f"{base}/_fresh")[0])
+    (tmp_path / "_replacing-day").write_text(f"_fresh\n_old\n{count}\n{size}")
+    os.rename(tmp_path / "day", tmp_path / "_old")
+    shutil.copytree(tmp_path / "_fresh", tmp_path / "day")
+    for part in list((tmp_path / "_fresh").glob("part-*"))[:1] + ([next((tmp_path / "day").glob("part-*"))] if lost else []):
+        part.unlink()
+    assert writers.finish_replacing(spark, f"{base}/day")
+    assert spark.read.parquet(f"{base}/day").count() == (3 if lost else 5)
+    assert sorted(f.name for f in tmp_path.iterdir() if not f.name.startswith(".")) == ["day"]
+
+
+def test_a_write_that_fails_leaves_the_day_and_nothing_else(spark, folders):
+    events, hotels, out = folders
+    path = day_job.run_day(spark, events, hotels, DAY, out)
+    bad = spark.read.parquet(path).withColumn("meta_row_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        day_job.write_day(bad.withColumn("event_date", F.lit(DAY)), out, DAY)
+    assert written(spark, path) == EXPECTED
+    assert [f for f in os.listdir(out.removeprefix("file://")) if not f.startswith(".")] == [f"event_date={DAY}"]
+
+
 def test_append_doubles(spark, folders):
     for _ in range(2):
         path = day_job.run_day(spark, *folders[:2], DAY, folders[2], append=True)

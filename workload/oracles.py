@@ -388,6 +388,10 @@ OLDER = {
 }
 ORACLES["day_job_older_layout"] = day_facts(", ".join(OLDER.get(c, c) for c in FINISHED))
 
+SHARED_ID = "CAST(l_orderkey AS VARCHAR) END AS id"
+OWN_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) END AS id"
+ORACLES["day_job_unique_ids"] = ORACLES["day_job"].replace(SHARED_ID, OWN_ID)
+
 ORACLES["day_job_reference_mode"] = day_facts(", ".join(FINISHED), BY_EVENT_PRICE, ALL_LISTED)
 
 # Where a day holds both layouts, events of the older one have NULL locations; a listing row's are its server hotel's.

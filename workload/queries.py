@@ -431,6 +431,16 @@ def day_job_older_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.day_facts(raw, hotels, DAY).select(*FINISHED)
 
 
+@query
+def day_job_unique_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with a row id of its own: one pass over the events for all steps."""
+    hotels = prepare.hotel_cities(nested.hotels(spark, sf_dir))
+    raw = nested.raw_events(spark, sf_dir)
+    own = F.when(F.col("meta_rw_id").isNotNull(), F.col("meta_rq_id"))
+    facts = job.day_facts(raw.withColumn("meta_rw_id", own), hotels, DAY, steps.UNIQUE, steps.UNIQUE)
+    return facts.select(*FINISHED)
+
+
 @query
 def day_job_reference_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tariffs by the event's price, and the other steps' events in the listing branch too."""
