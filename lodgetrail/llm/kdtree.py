@@ -22,6 +22,10 @@ SHARD = 8192
 LEAF = 256
 QUERIES = 512
 SCALE = 64
+#: Whole numbers up to here are exact as doubles, and so are sums whose parts add up to no more.
+EXACT = float(1 << 53)
+#: A first shard of up to this many bytes goes to every executor.
+BROADCAST_SHARD = 64 << 20
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -86,6 +90,34 @@ def search(
     return got_ids, got
 
 
+def search_wide(
+    query: np.ndarray, query_id: int, points: np.ndarray, ids: np.ndarray, nodes: np.ndarray, bounds: np.ndarray, k: int, least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``search``, for products that doubles do not hold: scores are Python's whole numbers.
+
+    ``bounds`` and ``least`` are doubles, so both are moved by more than what
+    rounding can have cost them, and only decide what is looked at.
+    """
+    whole = [int(x) for x in query]
+    slack = 1e-12 * float(np.abs(points).max(0) @ np.abs(query)) + 1
+    heap, got, kth = [(-bounds[0] - slack, 0)], [], least - slack
+    while heap and -heap[0][0] >= kth:
+        _, node = heapq.heappop(heap)
+        first, last, left = nodes[node]
+        if left >= 0:
+            for child in (left, left + 1):
+                heapq.heappush(heap, (-bounds[child] - slack, child))
+            continue
+        for at in range(first, last):
+            if ids[at] != query_id:
+                got.append((-sum(a * int(b) for a, b in zip(whole, points[at])), int(ids[at])))
+        got = heapq.nsmallest(k, got)
+        if len(got) >= k:
+            kth = max(kth, -got[-1][0])
+    # A score beyond a long fails here rather than come out wrong.
+    return np.array([i for _, i in got], "i8"), np.array([-s for s, _ in got], "i8")
+
+
 def _packed_shards(rows: DataFrame, shards: int, leaf: int) -> DataFrame:
     """One row per shard: its tree, its points in the tree's order, and their ids."""
 
@@ -119,14 +151,16 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                 nodes = np.frombuffer(row.nodes, "i4").reshape(-1, 3)
                 queries, query_ids = np.frombuffer(row.queries).reshape(-1, dim), np.frombuffer(row.query_ids, "i8")
                 allowed = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+                # What the parts of any product with a query add up to at most.
+                most = np.abs(queries) @ np.maximum(np.abs(low[0]), np.abs(high[0]))
                 found = [
-                    (i, *search(q, i, points, ids, nodes, bounds, k, least))
-                    for q, i, bounds, least in zip(queries, query_ids.tolist(), allowed, np.frombuffer(row.least))
+                    (i, *(search if most_of < EXACT else search_wide)(q, i, points, ids, nodes, bounds, k, least))
+                    for q, i, bounds, most_of, least in zip(queries, query_ids.tolist(), allowed, most, np.frombuffer(row.least))
                 ]
                 yield pd.DataFrame({
                     "query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]),
                     "vec_id": np.concatenate([f[1] for f in found]),
-                    "score": np.concatenate([f[2] for f in found]).astype("i8"),
+                    "score": np.concatenate([f[2].astype("i8") for f in found]),
                 })
 
     return pairs.mapInPandas(run, _FOUND)
@@ -141,13 +175,17 @@ def exact_top_k(
     Components x count as floor(scale * x). Queries are the rows for whose id
     ``is_query(id)`` holds, candidates all rows but the query's own; fewer than
     ``k`` candidates are all returned, none give no rows. ``vectors.usable``
-    says which rows take part. Products up to 2^53 are exact.
+    says which rows take part. Scores are exact: queries whose products with a
+    shard may pass 2^53 are scored there in whole numbers of any size, which is
+    slow; a score beyond a long fails.
 
     Every query meets every shard: blocks of queries against all rows. A shard
     holds about ``shard`` rows however common a vector or an id pattern is.
     """
     whole = vectors.usable(rows, key, vector)
-    whole = whole.withColumn("vec", F.transform("vec", lambda x: F.floor(x * scale).cast("double")))
+    # Beyond 2^53 doubles are whole, and may be too large for a long.
+    floored = F.transform("vec", lambda x: F.when(F.abs(x * scale) < EXACT, F.floor(x * scale).cast("double")).otherwise(x * scale))
+    whole = whole.withColumn("vec", floored)
     whole = tables.stored(whole, "search-rows")
     candidates = tables.stored(vectors.fewest(whole, k + 1), "search-candidates")
     shards = vectors.blocks(candidates.count(), shard)
@@ -155,8 +193,12 @@ def exact_top_k(
     queries = whole.where(is_query(F.col("id")))
     parts = vectors.blocks(queries.count(), block)
 
-    first = _packed_queries(queries.withColumn("least", F.lit(float("-inf"))), parts)
-    pilot = tables.stored(_searched(first.join(trees, F.col("on") == F.col("shard")), k), "search-pilot")
+    # Each block of queries is a task of its own, to which the first shard comes.
+    first = _packed_queries(queries.withColumn("least", F.lit(float("-inf"))), parts).repartition(parts)
+    start = trees.where(F.col("shard") == 0)
+    size = start.agg(F.max(F.octet_length("points"))).first()[0] or 0
+    start = F.broadcast(start) if size <= BROADCAST_SHARD else start
+    pilot = tables.stored(_searched(first.join(start, F.col("on") == F.col("shard")), k), "search-pilot")
     kth = pilot.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
     known = queries.join(kth, queries["id"] == kth["query_id"], "left").select(
         "id", "vec", F.coalesce(F.col("kth").cast("double"), F.lit(float("-inf"))).alias("least")

@@ -102,3 +102,20 @@ def test_equal_vectors_count_a_few_times(spark):
     counts = Counter(tuple(r["vec"]) for r in kept)
     assert max(counts.values()) == 6 and len(kept) == 200 + 6
     assert sorted(r["id"] for r in kept if counts[tuple(r["vec"])] == 6) == [0, 3, 6, 9, 12, 15]
+
+
+@pytest.mark.parametrize("size", [1e6, 3e7])
+@pytest.mark.parametrize("broadcast", [0, 64 << 20])
+def test_products_beyond_doubles_are_exact(spark, monkeypatch, size, broadcast):
+    monkeypatch.setattr(kdtree, "BROADCAST_SHARD", broadcast)
+    rng = np.random.default_rng(8)
+    # Near each other, so that doubles round many of the products alike.
+    vectors_ = np.concatenate([size + rng.random((150, 2)) * 2, rng.normal(size=(50, 2))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors_)], "vec_id long, embedding array<double>")
+    whole = [[int(x) for x in np.floor(v * 64)] for v in vectors_]
+    expected = set()
+    for q in range(0, 200, 20):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in enumerate(whole) if i != q)
+        expected |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:20], 1)}
+    found = kdtree.exact_top_k(rows, lambda i: i % 20 == 0, 20, shard=40, leaf=8, block=3).collect()
+    assert {tuple(r) for r in found} == expected
