@@ -5,9 +5,11 @@ document's score is the sum of those conditional log-probabilities. The network
 adds up place-dependent embeddings of the four neighbours, squashes the sum,
 and predicts the token's class and then the token within its class.
 
-Counts cover every token of the corpus. Training is data-parallel: each task
-learns from its own documents, starting from the same weights, and the weights
-are averaged by the tokens learnt from.
+Counts cover every token of the corpus, and so does training. The network starts
+from the counted frequencies. Documents are dealt by a hash into lanes, whose
+number follows from the corpus alone; each lane learns every position of its own
+documents, starting from the same weights, and the weights are averaged by the
+tokens learnt from. How the input is split therefore changes nothing.
 """
 
 from __future__ import annotations
@@ -33,11 +35,16 @@ FREQUENT = 896
 DIM = 16
 SIDES = (-2, -1, 1, 2)
 GAP = 2
-#: One position in so many of every document is learnt from in a round, each round others.
-STRIDE = 8
-ROUNDS = 2
+#: Tokens of a lane, about: the corpus has as many lanes as it takes.
+LANE_TOKENS = 2_000_000
+#: Tasks that the lanes are dealt over at most; each reads its lanes one after the other.
+LANE_TASKS = 20_000
+#: Lanes averaged by one task; their averages are averaged in turn.
+FAN = 64
 BATCH = 2048
-RATE = 0.05
+#: Tokens read before their positions are mixed and learnt from.
+MIXED = BATCH * 64
+RATE = 2.0
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 300_000
 #: Weights per row when networks are averaged.
@@ -78,6 +85,8 @@ class Vocabulary:
 
     frequent: dict[str, int]
     shared: np.ndarray
+    #: How often each type occurs in the corpus.
+    seen: np.ndarray
 
     def type_of(self, word: str) -> int:
         found = self.frequent.get(word)
@@ -91,17 +100,21 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """From the counts of all words; ties among frequent ones go by the word. Two bounded results reach the driver."""
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT)
-    words = [row["word"] for row in top.collect()]
+    words = [(row["word"], row["n"]) for row in top.collect()]
     # Neighbouring types form a class, so classes hold words of like frequency.
-    frequent = {w: i for i, w in enumerate(words)}
+    frequent = {w: i for i, (w, _) in enumerate(words)}
     rest = TYPES - FREQUENT
     kind = F.crc32(F.col("word").cast("binary")) % rest
-    shared = np.zeros(rest)
-    for row in counts.groupBy(kind.alias("kind")).agg(F.count("*").alias("words")).collect():
+    shared, seen = np.zeros(rest), np.zeros(TYPES, "i8")
+    for row in counts.groupBy(kind.alias("kind")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect():
         shared[row["kind"]] = row["words"]
-    for w in words:
-        shared[zlib.crc32(w.encode("utf-8", "replace")) % rest] -= 1
-    return Vocabulary(frequent, shared)
+        seen[FREQUENT + row["kind"]] = row["n"]
+    for i, (w, n) in enumerate(words):
+        own = zlib.crc32(w.encode("utf-8", "replace")) % rest
+        shared[own] -= 1
+        seen[FREQUENT + own] -= n
+        seen[i] = n
+    return Vocabulary(frequent, shared, seen)
 
 
 class Network:
@@ -128,6 +141,16 @@ class Network:
     def fresh(cls, seed: int = 5) -> Network:
         return cls(np.random.default_rng(seed).normal(0, 0.1, cls.SIZE).astype("f4"))
 
+    @classmethod
+    def started(cls, words: Vocabulary, seed: int = 5) -> Network:
+        """Predicts the counted frequencies whatever the neighbours: from there, learning adds what they tell."""
+        network = cls.fresh(seed)
+        cells = (words.seen + 0.5).reshape(CLASSES, WITHIN)
+        network.classes[:], network.words[:], network.bias[:] = 0, 0, 0
+        network.class_bias[:] = np.log(cells.sum(1) / cells.sum())
+        network.word_bias[:] = np.log(cells / cells.sum(1, keepdims=True))
+        return network
+
     def hidden(self, types: np.ndarray, at: np.ndarray) -> np.ndarray:
         total = np.broadcast_to(self.bias, (len(at), DIM)).copy()
         for side, table in zip(SIDES, self.context):
@@ -172,7 +195,7 @@ class Network:
             flat = (types[at + side][:, None].astype("i8") * DIM + cells).ravel()
             # Rare neighbours get longer steps, or they would hardly move.
             table -= 30 * steps * np.bincount(flat, back.ravel(), (TYPES + 1) * DIM).reshape(table.shape).astype("f4")
-        np.clip(self.flat, -5, 5, out=self.flat)
+        np.clip(self.flat, -30, 30, out=self.flat)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -234,75 +257,93 @@ def _joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return row, at, np.repeat(np.arange(len(texts)), [len(t) for t in texts])
 
 
-def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
-    return train_typed(typed(docs, words), rounds, stride)
+def train(docs: DataFrame, words: Vocabulary, lane_tokens: int = LANE_TOKENS) -> Network:
+    return train_typed(typed(docs, words), words, lane_tokens)
+
+
+def dealt(rows: DataFrame, lanes: int) -> DataFrame:
+    """``lane``, ``types``: documents by a hash of id and text, each lane in one task and in an order of its own.
+
+    Rows alike in both are told apart by nothing, so their order does not matter.
+    """
+    hashed = rows.select("doc_id", "types", F.xxhash64("doc_id", "types").alias("_hash"))
+    laned = hashed.where(F.length("types") > 0).withColumn("lane", F.pmod("_hash", F.lit(lanes)).cast("int"))
+    tasks = min(lanes, LANE_TASKS)
+    laned = laned.repartitionById(tasks, F.col("lane") % tasks)
+    return laned.sortWithinPartitions("lane", "_hash", "doc_id", "types").select("lane", "types")
 
 
-def train_typed(rows: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
-    """Average of networks that each learnt one task's documents, ``rounds`` times over.
+def train_typed(rows: DataFrame, words: Vocabulary, lane_tokens: int = LANE_TOKENS) -> Network:
+    """Average of networks that each learnt every position of one lane's documents.
 
-    A round learns from one position in ``stride`` of every document, so its
-    work and what is gathered grow with the corpus.
+    The work grows with the corpus: a lane holds about ``lane_tokens`` tokens,
+    and is read as a stream, so a crowded one takes longer, not more memory.
     """
     spark = rows.sparkSession
-    network = Network.fresh()
-    texts = rows.select("types")
-    parts = max(1, texts.rdd.getNumPartitions())
-    # Averages are taken in two steps, so no task ever holds all networks.
-    lanes = max(1, math.isqrt(parts))
-    for number in range(rounds):
-        sent = spark.sparkContext.broadcast(network.flat)
-
-        def learn(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            from pyspark import TaskContext
-
-            own = Network(sent.value.copy())
-            weight, held, size, seen = 0, [], 0, 0
-
-            def step() -> int:
-                row, at, _ = _joined(held)
-                chosen = at[(np.arange(len(at)) + number * (stride // 2)) % stride == 0]
-                # Neighbouring positions are alike; a fixed shuffle spreads them over the batches.
-                chosen = np.random.default_rng(number).permutation(chosen)
-                for a in range(0, len(chosen), BATCH):
-                    own.learn(row, chosen[a : a + BATCH], RATE * 4 / (1 + number))
-                return len(chosen)
-
-            for frame in frames:
-                for data in frame["types"].tolist():
-                    held.append(_types(data))
+    start = Network.started(words)
+    lanes = max(1, math.ceil(int(words.seen.sum()) / lane_tokens))
+    sent = spark.sparkContext.broadcast(start.flat)
+    parts = range(0, Network.SIZE, _PART)
+
+    def learn(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lane, own, weight, held, size = None, None, 0, [], 0
+
+        def step() -> int:
+            row, at, _ = _joined(held)
+            # Neighbouring positions are alike; a fixed shuffle spreads them over the batches.
+            mixed = np.random.default_rng(len(at)).permutation(at)
+            for a in range(0, len(mixed), BATCH):
+                own.learn(row, mixed[a : a + BATCH], RATE)
+            return len(mixed)
+
+        def finished() -> pd.DataFrame:
+            values = [own.flat[a : a + _PART].astype("f4").tobytes() for a in parts]
+            return pd.DataFrame({"part": range(len(parts)), "lane": lane, "weight": float(weight), "values": values})
+
+        for frame in frames:
+            for number, data in zip(frame["lane"].tolist(), frame["types"].tolist()):
+                if number != lane:
+                    if own is not None:
+                        weight += step() if held else 0
+                        yield finished()
+                    lane, own, weight, held, size = number, Network(sent.value.copy()), 0, [], 0
+                whole = _types(data)
+                for a in range(0, len(whole), MIXED):  # a very long text is learnt in pieces
+                    held.append(whole[a : a + MIXED])
                     size += len(held[-1])
-                    if size > BATCH * stride * 8:
+                    if size >= MIXED:
                         weight += step()
                         held, size = [], 0
-            if held:
-                weight += step()
-            lane = TaskContext.get().partitionId() % lanes
-            parts_ = range(0, Network.SIZE, _PART)
-            if weight:
-                yield pd.DataFrame({
-                    "part": range(len(parts_)), "lane": lane, "weight": float(weight),
-                    "values": [own.flat[a : a + _PART].astype("f4").tobytes() for a in parts_],
-                })
-
-        schema = "part int, lane int, weight double, values binary"
-        learnt = texts.mapInPandas(learn, schema)
-        averaged = _average(_average(learnt, ["part", "lane"]), ["part"]).orderBy("part").collect()  # one network
-        if averaged:
-            network = Network(np.concatenate([np.frombuffer(r["values"], "f4") for r in averaged]).copy())
-        sent.unpersist()
-    return network
-
-
-def _average(rows: DataFrame, keys: list[str]) -> DataFrame:
+        if own is not None:
+            weight += step() if held else 0
+            yield finished()
+
+    learnt = dealt(rows, lanes).mapInPandas(learn, _LEARNT)
+    while lanes > FAN:
+        learnt = _average(learnt.withColumn("group", (F.col("lane") / FAN).cast("int")))
+        lanes = math.ceil(lanes / FAN)
+    averaged = _average(learnt.withColumn("group", F.lit(0))).orderBy("part").collect()  # one network
+    sent.unpersist()
+    if not averaged:
+        return start
+    return Network(np.concatenate([np.frombuffer(r["values"], "f4") for r in averaged]).copy())
+
+
+_LEARNT = "part int, lane int, weight double, values binary"
+
+
+def _average(rows: DataFrame) -> DataFrame:
+    """The lanes of a ``group`` averaged by weight, part by part and in the lanes' order; the group is the new lane."""
+
     def mean(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("lane")
         total, weight = 0.0, float(pdf["weight"].sum())
         for values, w in zip(pdf["values"], pdf["weight"]):
             total = total + np.frombuffer(values, "f4").astype("f8") * (w / weight)
-        lane = int(pdf["lane"].iloc[0])
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "lane": [lane], "weight": [weight], "values": [total.astype("f4").tobytes()]})
+        group, part = int(pdf["group"].iloc[0]), int(pdf["part"].iloc[0])
+        return pd.DataFrame({"part": [part], "lane": [group], "weight": [weight], "values": [total.astype("f4").tobytes()]})
 
-    return rows.groupBy(*keys).applyInPandas(mean, "part int, lane int, weight double, values binary")
+    return rows.groupBy("part", "group").applyInPandas(mean, _LEARNT)
 
 
 def scored(docs: DataFrame, words: Vocabulary, network: Network) -> DataFrame:
@@ -339,7 +380,11 @@ def scored_typed(rows: DataFrame, words: Vocabulary, network: Network) -> DataFr
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
-    """Counts, trains and scores over the same documents, whose words are looked up once."""
+    """Counts, trains and scores over the same documents, whose words are looked up once.
+
+    One row per row given, NULL and repeated ids included; NULL, empty and
+    wordless texts score 0 with a NULL ``per_token``. Other columns are not read.
+    """
     words = vocabulary(tables.stored(word_counts(docs), "word-counts"))
     rows = tables.stored(typed(docs, words), "types")
-    return scored_typed(rows, words, train_typed(rows))
+    return scored_typed(rows, words, train_typed(rows, words))

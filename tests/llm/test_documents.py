@@ -190,12 +190,56 @@ def test_pseudo_likelihood_by_hand(spark):
     assert next(r for r in rows if r["doc_id"] == 2)["log_likelihood"] == 0.0
 
 
-def test_training_makes_held_back_positions_likelier(spark, sf_dir):
+def per_token(rows) -> float:
+    likely, n = rows.groupBy().sum("log_likelihood", "n_tokens").first()
+    return likely / n
+
+
+def test_training_beats_the_counted_frequencies(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    words = lm.vocabulary(lm.word_counts(docs))
+    counted = Counter(words.type_of(w) for r in docs.select("text").collect() for w in lm.tokens(r["text"]))
+    assert counted == Counter({t: n for t, n in enumerate(words.seen.tolist()) if n})
+    total, share = sum(counted.values()), words.log_share()
+    by_counts = sum(n * (np.log(n / total) + share[t]) for t, n in counted.items()) / total
+    assert per_token(lm.scored(docs, words, lm.Network.started(words))) == pytest.approx(by_counts, abs=0.05)
+    assert per_token(lm.scored(docs, words, lm.train(docs, words))) > by_counts + 0.1
+    # Also where several lanes are averaged, in more than one step.
+    assert per_token(lm.scored(docs, words, lm.train(docs, words, int(total) // 70))) > by_counts
+
+
+def test_every_position_is_learnt_from_once(spark, sf_dir, monkeypatch):
+    docs = table(spark, sf_dir, "documents")
+    words = lm.vocabulary(lm.word_counts(docs))
+    rows = lm.typed(docs, words)
+    laned = lm.dealt(rows, 7).collect()
+    assert Counter(bytes(r["types"]) for r in laned) == Counter(bytes(r["types"]) for r in rows.collect() if r["types"])
+    assert {r["lane"] for r in laned} <= set(range(7))
+
+
+@pytest.mark.parametrize("lane_tokens", [10**9, 4000])
+def test_scores_do_not_depend_on_the_split(spark, sf_dir, lane_tokens):
     docs = table(spark, sf_dir, "documents")
     words = lm.vocabulary(lm.word_counts(docs))
-    before = lm.scored(docs, words, lm.Network.fresh()).groupBy().sum("log_likelihood").first()[0]
-    after = lm.scored(docs, words, lm.train(docs, words)).groupBy().sum("log_likelihood").first()[0]
-    assert after > before * 0.97
+    first = lm.train(docs.repartition(1), words, lane_tokens)
+    for parts in (4, 16):
+        assert (lm.train(docs.repartition(parts), words, lane_tokens).flat == first.flat).all()
+    one, many = (
+        {(r["doc_id"], r["n_tokens"]): r["log_likelihood"] for r in lm.scored(docs.repartition(p), words, first).collect()}
+        for p in (1, 16)
+    )
+    assert one.keys() == many.keys() and all(many[k] == pytest.approx(one[k], rel=1e-5) for k in one)
+
+
+def test_scoring_of_hard_rows(spark):
+    rows = [*HARD, HARD[0], (None, "a b"), (None, None), (77, "word " * 300_000), (78, "x" * 200_000)]
+    docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, log_likelihood string")
+    found = lm.score_documents(docs).collect()
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in found) == Counter((i, len(lm.tokens(t))) for i, t in rows)
+    for r in found:
+        assert np.isfinite(r["log_likelihood"]) and (r["per_token"] is None) == (r["n_tokens"] == 0)
+        assert r["log_likelihood"] < 0 if r["n_tokens"] else r["log_likelihood"] == 0
+    assert lm.score_documents(docs.where("text is null")).where("log_likelihood <> 0").count() == 0
 
 
 def test_pipeline_takes_effect(spark, sf_dir):
