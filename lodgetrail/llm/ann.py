@@ -116,18 +116,32 @@ def visits(tree: Tree, x: np.ndarray, wide: int, held: np.ndarray, least: int) -
 
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of every query with every row, from the original components in double precision."""
+    """Cosine of every query with every row, to within some last bits: those depend on the shapes multiplied."""
     return (q @ x.T) / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1))
 
 
+def pair_cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Cosine of one query with every row, each pair summed by itself: the same pair has the same score wherever it is."""
+    # Sums along the last axis of whole rows depend on the row alone.
+    x = np.ascontiguousarray(x)
+    norms = np.sqrt((q * q).sum()) * np.sqrt((x * x).sum(1))
+    return (x * q).sum(1) / norms
+
+
 def _best_rows(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
+    """Each query's ``k`` best rows: all that the product cannot tell from the ``k``-th are scored again pair by pair."""
     queries, places, found = [], [], []
-    for i, own in zip(q_ids.tolist(), cosines(q, x)):
-        other = np.flatnonzero(ids != i)
-        chosen = other[vectors.top(own[other], ids[other], k)]
+    slack = 8 * (x.shape[1] + 8) * np.finfo("f8").eps
+    for i, own, mine in zip(q_ids.tolist(), cosines(q, x), q):
+        near = np.flatnonzero(ids != i)
+        if len(near) > k:
+            edge = np.partition(own[near], len(near) - k)[len(near) - k]
+            near = near[own[near] >= edge - slack]
+        scores = pair_cosines(mine, x[near])
+        chosen = vectors.top(scores, ids[near], k)
         queries.append(np.full(len(chosen), i))
-        places.append(chosen)
-        found.append(own[chosen])
+        places.append(near[chosen])
+        found.append(scores[chosen])
     place = np.concatenate(places)
     return pd.DataFrame({"query_id": np.concatenate(queries), "vec_id": ids[place], "score": np.concatenate(found), "place": place})
 
@@ -148,8 +162,8 @@ def calibrate(filed: DataFrame, queries: pd.DataFrame, tree: Tree, k: int, recal
                 yield near[["query_id", "vec_id", "score", "leaf"]]
 
     found = filed.select("id", "vec", "leaf").mapInPandas(scan, "query_id long, vec_id long, score double, leaf int")
-    nearest = vectors.best(found.withColumn("score", F.struct("score", "leaf")), k)
-    truth = nearest.select("query_id", F.col("score.leaf").alias("leaf")).toPandas()  # k rows per calibration query
+    nearest = vectors.best(found, k, "leaf")
+    truth = nearest.select("query_id", "leaf").toPandas()  # k rows per calibration query
     if not len(truth):
         return 1, 1.0
     order = visits(tree, q, tree.leaves, np.zeros(tree.leaves), 0)

@@ -37,11 +37,11 @@ def fewest(rows: DataFrame, keep: int) -> DataFrame:
     return rows.withColumn("_n", rank).where(F.col("_n") <= keep).drop("_n")
 
 
-def best(found: DataFrame, k: int) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` highest scores, ties to smaller ids."""
+def best(found: DataFrame, k: int, *more: str) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id``, ``score`` and ``more``: the ``k`` highest scores, ties to smaller ids."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query_id", "rank", "vec_id", "score", *more)
 
 
 def matrix(column: pd.Series) -> np.ndarray:

@@ -96,6 +96,39 @@ def test_tree_search_of_little(spark):
     assert [(r["rank"], r["vec_id"]) for r in ann.nearest(few, lambda i: i % 50 == 0, 5)[0].orderBy("rank").collect()] == [(1, 2), (2, 1)]
 
 
+def test_a_pair_has_one_score_in_every_block():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 48))
+    x[1::4] = x[0]
+    ids = rng.permutation(60)
+    whole = ann._best_rows(x[:20], ids[:20], x, ids, 59).set_index(["query_id", "vec_id"])["score"]
+    for size in (1, 3, 7, 37):
+        for a in range(0, 60, size):
+            part = ann._best_rows(x[3:4], ids[3:4], x[a : a + size], ids[a : a + size], 59)
+            assert all(whole[q, i] == s for q, i, s in part[["query_id", "vec_id", "score"]].itertuples(index=False))
+    # Of equal rows the smaller ids come first.
+    twins = sorted(ids[i] for i in (0, *range(1, 60, 4)) if i != 1)
+    assert ann._best_rows(x[1:2], ids[1:2], x, ids, 5)["vec_id"].tolist() == twins[:5]
+
+
+def test_tied_and_repeated_rows_rank_by_id(spark):
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(400, 16))
+    points[::3] = points[0]
+    points[1::5] = points[1]
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] * 2
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7), lambda i: i % 50 == 0, 5, leaf=16)[0]
+    got = defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, 400, 50))
+    for q, own in got.items():
+        assert own == sorted(own, key=lambda r: (-r[1], r[0])) and len({i for i, _ in own}) == 5
+        twins = [i for i in range(400) if i != q and (points[i] == points[q]).all()]
+        if len(twins) >= 5:
+            assert [i for i, _ in own] == twins[:5]
+
+
 def test_equal_vectors_count_a_few_times(spark):
     rows, _ = made(spark, 300)
     kept = vectors.fewest(vectors.usable(rows, "vec_id", "embedding"), 6).collect()
