@@ -165,14 +165,17 @@ def scored_documents(docs: DataFrame, labels: DataFrame, host: str = "source", p
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """The rows with a posterior of a half or more, with all columns given."""
+    """The rows with a posterior of a half or more, with all columns given.
+
+    NULL and empty texts are judged as texts without words, NULL hosts and paths
+    as sites like any other; a column that is missing makes one site. Repeated
+    rows are judged alike, columns of any name pass. The texts are judged once
+    and written with their chances; an empty table gives an empty one.
+    """
     evidence = fit(labelled.fit_sample(docs, labels, "quality"))
+    h, p, c, site = (tables.unused(docs, f"own_{x}") for x in ("host", "path", "chance", "site"))
     own = chance(evidence, docs.sparkSession, F.col("text"))
-    sites = site_priors(
-        docs.select(_site(docs, host).alias("host"), _site(docs, path).alias("path"), own.alias("chance"))
-    )
-    h, p, c = (tables.unused(docs, f"own_{x}") for x in ("host", "path", "chance"))
-    rows = docs.withColumns({h: _site(docs, host), p: _site(docs, path), c: own})
-    site = tables.unused(rows, "site")
+    rows = tables.stored(docs.withColumns({h: _site(docs, host), p: _site(docs, path), c: own}), "quality-texts")
+    sites = site_priors(rows.select(F.col(h).alias("host"), F.col(p).alias("path"), F.col(c).alias("chance")))
     good = posterior(F.col(c), F.col(site), evidence.prior) >= KEEP_FROM
     return _with_site(rows, sites, h, p, site).where(good).select(*docs.columns)
