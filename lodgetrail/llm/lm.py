@@ -41,10 +41,12 @@ LANE_TOKENS = 2_000_000
 LANE_TASKS = 20_000
 #: Lanes averaged by one task; their averages are averaged in turn.
 FAN = 64
-BATCH = 2048
+BATCH = 4096
 #: Tokens read before their positions are mixed and learnt from.
-MIXED = BATCH * 64
-RATE = 2.0
+MIXED = BATCH * 32
+RATE = 2.5
+#: Positions scored at a time.
+SCORED = 1 << 13
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 300_000
 #: Weights per row when networks are averaged.
@@ -157,58 +159,75 @@ class Network:
             total += table[types[at + side]]
         return np.tanh(total)
 
-    def _class_logs(self, hidden: np.ndarray) -> np.ndarray:
-        return _log_softmax(hidden @ self.classes.T + self.class_bias)
+    def _within(self, hidden: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Scores of the types of each row's class, rows being in order of classes; and each class's stretch of rows."""
+        edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+        stretches = [(c, a, b) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+        scores = np.empty((len(hidden), WITHIN), "f4")
+        for c, a, b in stretches:
+            np.matmul(hidden[a:b], self.words[c].T, out=scores[a:b])
+        scores += self.word_bias[classes]
+        return scores, stretches
 
     def log_probabilities(self, types: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the type at each place given its neighbours."""
-        hidden, own = self.hidden(types, at), types[at]
+        order = _by_class(types[at])
+        own = types[at[order]]
+        hidden = self.hidden(types, at[order])
         classes, places = own // WITHIN, own % WITHIN
-        out = self._class_logs(hidden)[np.arange(len(at)), classes]
-        for c, rows in _by_class(classes):
-            logs = _log_softmax(hidden[rows] @ self.words[c].T + self.word_bias[c])
-            out[rows] += logs[np.arange(len(rows)), places[rows]]
+        logs = _log_chance(hidden @ self.classes.T + self.class_bias, classes)
+        logs += _log_chance(self._within(hidden, classes)[0], places)
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def learn(self, types: np.ndarray, at: np.ndarray, rate: float) -> None:
         """One step of gradient descent on these places."""
+        at = at[_by_class(types[at])]
         hidden, own = self.hidden(types, at), types[at]
         classes, places = own // WITHIN, own % WITHIN
-        error = np.exp(self._class_logs(hidden))
-        error[np.arange(len(at)), classes] -= 1
+        rows, step = np.arange(len(at)), np.float32(rate / len(at))
+        error = _softmax(hidden @ self.classes.T + self.class_bias)
+        error[rows, classes] -= 1
         back = error @ self.classes
-        steps = rate / len(at)
-        class_step = error.T @ hidden
-        self.class_bias -= rate * error.mean(0)
-        for c, rows in _by_class(classes):
-            near = hidden[rows]
-            word_error = np.exp(_log_softmax(near @ self.words[c].T + self.word_bias[c]))
-            word_error[np.arange(len(rows)), places[rows]] -= 1
-            back[rows] += word_error @ self.words[c]
-            self.words[c] -= 8 * steps * (word_error.T @ near)
-            self.word_bias[c] -= 8 * steps * word_error.sum(0)
-        self.classes -= steps * class_step
+        self.classes -= step * (error.T @ hidden)
+        self.class_bias -= step * error.sum(0)
+        scores, stretches = self._within(hidden, classes)
+        error = _softmax(scores)
+        error[rows, places] -= 1
+        for c, a, b in stretches:
+            back[a:b] += error[a:b] @ self.words[c]
+            self.words[c] -= 8 * step * (error[a:b].T @ hidden[a:b])
+            self.word_bias[c] -= 8 * step * error[a:b].sum(0)
         back *= 1 - hidden * hidden
-        self.bias -= rate * back.mean(0)
+        self.bias -= step * back.sum(0)
+        # Rare neighbours get longer steps, or they would hardly move.
+        back *= 30 * step
         cells = np.arange(DIM)
         for side, table in zip(SIDES, self.context):
-            flat = (types[at + side][:, None].astype("i8") * DIM + cells).ravel()
-            # Rare neighbours get longer steps, or they would hardly move.
-            table -= 30 * steps * np.bincount(flat, back.ravel(), (TYPES + 1) * DIM).reshape(table.shape).astype("f4")
+            np.subtract.at(table.reshape(-1), (types[at + side][:, None] * DIM + cells).ravel(), back.ravel())
+
+    def bounded(self) -> None:
         np.clip(self.flat, -30, 30, out=self.flat)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x *= 1 / x.sum(1, keepdims=True)
+    return x
+
+
+def _log_chance(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one place of each row."""
+    x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(1))
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes.astype("u1"), kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+def _by_class(types: np.ndarray) -> np.ndarray:
+    return np.argsort((types // WITHIN).astype("u1"), kind="stable")
 
 
 class Reader:
@@ -294,6 +313,7 @@ def train_typed(rows: DataFrame, words: Vocabulary, lane_tokens: int = LANE_TOKE
             mixed = np.random.default_rng(len(at)).permutation(at)
             for a in range(0, len(mixed), BATCH):
                 own.learn(row, mixed[a : a + BATCH], RATE)
+            own.bounded()
             return len(mixed)
 
         def finished() -> pd.DataFrame:
@@ -367,9 +387,9 @@ def scored_typed(rows: DataFrame, words: Vocabulary, network: Network) -> DataFr
                 texts = [_types(data) for data in some.column(1).to_pylist()]
                 row, at, owner = _joined(texts)
                 logs = np.empty(len(at))
-                for b in range(0, len(at), 1 << 15):
-                    places = at[b : b + (1 << 15)]
-                    logs[b : b + (1 << 15)] = own.log_probabilities(row, places) + share[row[places]]
+                for b in range(0, len(at), SCORED):
+                    places = at[b : b + SCORED]
+                    logs[b : b + SCORED] = own.log_probabilities(row, places) + share[row[places]]
                 sums = np.bincount(owner, logs, len(texts)) if len(at) else np.zeros(len(texts))
                 sizes = pa.array([len(t) for t in texts], pa.int64())
                 columns = [some.column(0), sizes, pa.array(sums, pa.float64())]
