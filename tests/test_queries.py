@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 from lodgetrail.plans import prepare, steps
 from tests import opened_first
 from tests.conftest import plan_of
-from workload import nested
+from workload import nested, wide
 from workload.oracles import ORACLES
 from workload.queries import CHECKED, QUERIES
 
@@ -67,3 +67,23 @@ def test_steps_equal_the_form_that_opens_first(spark, tables, row_ids):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_the_full_queries_prove_every_column(spark, tables):
+    prepared = prepare.prepare_events(nested.raw_events(spark, DATA))
+    columns = steps.detail_facts(prepared).columns
+    assert len(columns) == 184 and set(tables.sql(ORACLES["detail_step_full"]).columns) == set(columns)
+    day = tables.sql(ORACLES["day_job_full"])
+    assert len(day.columns) == 189
+    told = tables.sql("SELECT " + ", ".join(f"count(DISTINCT nullif(\"{c}\"::VARCHAR, '')) AS \"{c}\"" for c in day.columns) + " FROM day")
+    constant = {c for c, n in zip(told.columns, told.fetchall()[0]) if n < 2}
+    assert constant == {"meta_row_type", "event_date"}
+
+
+def test_no_two_fields_have_like_values(tables):
+    all_ = (wide.EVENT, wide.EVENT_OR_SERVER, wide.SHOWN, wide.PRICE, wide.PRICE_OR_EVENT, wide.COUPON, wide.LOCATION, wide.SERVER_LOCATION)
+    for kind in (wide.WHOLE, wide.NUMBER, wide.FLAG, wide.DATE):
+        fields = {f for t in all_ for _, f, k in wide.lines(t) if k == kind}
+        values = ", ".join(f"list(({wide.fact_sql(f, kind, '0')})::VARCHAR ORDER BY p)" for f in sorted(fields))
+        row = tables.sql(f"SELECT {values} FROM range(400) t(p)").fetchall()[0]
+        assert len({tuple(v) for v in row}) == len(fields)

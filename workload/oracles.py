@@ -7,6 +7,9 @@ columns and the position.
 
 from __future__ import annotations
 
+import re
+
+from workload import wide
 from workload.queries import CHECKED, DAY, FINISHED
 
 ORACLES: dict[str, str] = {}
@@ -369,8 +372,12 @@ ORACLES["other_steps"] = f"WITH {EVENTS}, {other_facts()} SELECT {SELECTED} FROM
 
 
 def day_facts(columns: str, order: str = BY_OFFER, listing: str = LISTING_FACTS) -> str:
+    return day_of(detail_facts(order), listing, other_facts(), columns)
+
+
+def day_of(detail: str, listing: str, others: str, columns: str) -> str:
     return f"""
-WITH {detail_facts(order)}, {listing}, {other_facts()}, {HOTELS},
+WITH {detail}, {listing}, {others}, {HOTELS},
 facts AS (
   SELECT * FROM detail UNION ALL BY NAME SELECT * FROM listing UNION ALL BY NAME SELECT * FROM others),
 finished AS (
@@ -404,3 +411,29 @@ MIXED = {
     "loc_location_id": f"CASE WHEN {LOCATED} OR meta_fnnl_step = 'listing' THEN loc_location_id END AS loc_location_id",
 }
 ORACLES["day_mixed_layouts"] = day_facts(", ".join(MIXED.get(c, c) for c in FINISHED))
+
+
+def widened(facts: str, step: int, **more: str) -> str:
+    """A step's facts with the columns of ``workload.wide`` beside those held here; ``more`` replaces what wide events hold too."""
+    for column, sql in more.items():
+        lacking = re.compile(rf"CAST\(NULL AS \w+\) AS {column}\b")
+        assert len(lacking.findall(facts)) == 1
+        facts = lacking.sub(lambda _: f"{sql} AS {column}", facts)
+    head = re.compile(r"SELECT (pd_htl_id|shown_id) AS hotel_id,")
+    assert len(head.findall(facts)) == 1
+    columns = ", ".join(f"{sql[step]} AS {column}" for column, sql in wide.MORE.items())
+    return head.sub(lambda found: f"{found[0]} {columns},", facts)
+
+
+MAIN_PRICE = wide.fact_sql("pd_disp_sell_amt", wide.NUMBER, "0")
+DETAIL_FULL = widened(detail_facts(BY_OFFER), 0, disp_sell_amt=MAIN_PRICE)
+LISTING_FULL = widened(
+    LISTING_FACTS, 1, room_code=wide.fact_sql("pd_htl_rm_cd", wide.TEXT, "k"),
+    hotel_searched=wide.fact_sql("pd_is_htl_srch", wide.TEXT, "k"),
+)
+OTHERS_FULL = widened(other_facts(), 2, disp_sell_amt=MAIN_PRICE)
+ALL_CHECKED = ", ".join([*CHECKED, *wide.MORE])
+ORACLES["detail_step_full"] = f"WITH {DETAIL_FULL} SELECT {ALL_CHECKED} FROM detail"
+ORACLES["listing_step_full"] = f"WITH {EVENTS}, {LISTING_FULL} SELECT {ALL_CHECKED} FROM listing"
+ORACLES["other_steps_full"] = f"WITH {EVENTS}, {OTHERS_FULL} SELECT {ALL_CHECKED} FROM others"
+ORACLES["day_job_full"] = day_of(DETAIL_FULL, LISTING_FULL, OTHERS_FULL, ", ".join([*FINISHED, *wide.MORE]))

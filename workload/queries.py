@@ -17,7 +17,7 @@ from lodgetrail.functions.columns import EMPTY, null, rule
 from lodgetrail.operators import arrays, combine, enrich, filters, pick, report
 from lodgetrail.plans import day_job as job, layout, prepare, steps
 from lodgetrail.sources import readers, scratch, writers
-from workload import nested
+from workload import nested, wide
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DAY = nested.DAY
@@ -462,6 +462,33 @@ def day_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.day_facts(day, prepare.hotel_cities(nested.hotels(spark, sf_dir)), DAY).select(*FINISHED)
 
 
+def prepared_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare.prepare_events(wide.raw_events(spark, sf_dir))
+
+
+@query
+def detail_step_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 184 columns, from events that hold every raw column."""
+    return steps.detail_facts(prepared_wide(spark, sf_dir))
+
+
+@query
+def listing_step_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return steps.listing_facts(prepared_wide(spark, sf_dir))
+
+
+@query
+def other_steps_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return steps.other_facts(prepared_wide(spark, sf_dir))
+
+
+@query
+def day_job_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 189 columns of the day's facts."""
+    hotels = prepare.hotel_cities(nested.hotels(spark, sf_dir))
+    return job.day_facts(wide.raw_events(spark, sf_dir), hotels, DAY)
+
+
 def day_files(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     """Events and hotels written as the job's input, and where facts may go."""
     base = scratch.fresh_path(spark, "day")
