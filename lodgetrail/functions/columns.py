@@ -32,6 +32,11 @@ CONVERSIONS = {
     "day_text": f"from_unixtime({_SECONDS}, '{scalars.DAY_TEXT}')",
 }
 
+# Conversions that have a result for every value.
+LOSSLESS = ("upper", "lower", "join", "first", "string")
+# What the names of flags for lost values start with.
+LOST = "_lost_"
+
 
 @dataclass(frozen=True)
 class Constant:
@@ -156,16 +161,45 @@ def expression(
     return f"{value} AS `{spec.target}`"
 
 
+def _lost_flag(spec: Rule, schema: StructType, step: str | None, step_column: str) -> str:
+    """Whether the rule's conversion turns a value into NULL, as an SQL expression. Blank text is no value."""
+
+    def lost(source: Source) -> str:
+        if isinstance(source, Constant) or type_at(schema, source) is None:
+            return "false"
+        value = ".".join(f"`{name}`" for name in source.split("."))
+        return f"(trim(CAST({value} AS string)) <> '' AND ({_expression(spec, schema, source)}) IS NULL)"
+
+    if step is not None or not spec.on_step:
+        flag = lost(spec.source if step is None else spec.on_step.get(step, spec.source))
+    else:
+        cases = " ".join(f"WHEN `{step_column}` = '{on}' THEN {lost(source)}" for on, source in spec.on_step.items())
+        flag = f"CASE {cases} ELSE {lost(spec.source)} END"
+    return f"coalesce({flag}, false) AS `{LOST}{spec.target}`"
+
+
 def project(
-    df: DataFrame, rules: Iterable[Rule], step: str | None = None, step_column: str = "meta_fnnl_step"
+    df: DataFrame,
+    rules: Iterable[Rule],
+    step: str | None = None,
+    step_column: str = "meta_fnnl_step",
+    flag_lost: bool = False,
 ) -> DataFrame:
     """Select exactly the rules' columns, in order.
 
     They go to Spark as one list of expressions: building hundreds of columns
-    through the Column API takes seconds of driver time.
+    through the Column API takes seconds of driver time. With ``flag_lost``,
+    flags named after ``LOST`` and the target follow, which tell where a
+    conversion lost a value; flags that the input has are kept.
     """
-    schema = df.schema
-    return df.selectExpr(*[expression(spec, schema, step, step_column) for spec in rules])
+    schema, rules = df.schema, list(rules)
+    expressions = [expression(spec, schema, step, step_column) for spec in rules]
+    if flag_lost:
+        expressions += [f"`{c}`" for c in df.columns if c.startswith(LOST)]
+        expressions += [
+            _lost_flag(spec, schema, step, step_column) for spec in rules if spec.convert not in (None, *LOSSLESS)
+        ]
+    return df.selectExpr(*expressions)
 
 
 def paths(rules: Iterable[Rule]) -> set[str]:

@@ -26,6 +26,8 @@ EVENT_COUPONS = "cpn_resp_ls"
 TARIFF_COUPONS = "cpn_resp_trff_ls"
 SERVER_COUPONS = "cpn_resp_htl_ls"
 LOCATION = "locus"
+# Flags events of a file in the older layout, where a day holds both.
+OLDER = "older_layout"
 
 DETAIL_PRIORITIES = ("BEST_COUPON", "OTHER_COUPON")
 OTHER_PRIORITIES = ("BEST_COUPON", "REDEEMED", "OTHER_COUPON")
@@ -322,6 +324,10 @@ LOCATION_OUT = [
 # Location columns the older layout never had, not even as ''.
 NOT_IN_OLDER = ("loc_hotel_code", "loc_mm_applied_listing")
 
+# Of a day's events in the older layout: what is an empty text there, and what is NULL.
+EMPTY_IN_OLDER = {spec.target for spec in LOCATION_OUT if spec.target not in NOT_IN_OLDER} | {"loc_search_type", "loc_search_text"}
+NULL_IN_OLDER = {*NOT_IN_OLDER, *[spec.target for spec in CURRENT_ONLY]}
+
 
 def fact_columns(has_location: bool, has_rank: bool = True) -> list[Rule]:
     """The 184 fact columns before the dimension, in order.

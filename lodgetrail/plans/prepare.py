@@ -32,12 +32,17 @@ def has_location(events: DataFrame) -> bool:
     return columns.type_at(events.schema, layout.LOCATION) is not None
 
 
-def prepare_events(raw: DataFrame) -> DataFrame:
+def prepare_events(raw: DataFrame, flag_lost: bool = False) -> DataFrame:
     """Raw events of either layout as the columns the steps work on.
 
-    Columns the input lacks read as NULL.
+    Columns the input lacks read as NULL. A flag of rows in the older layout is
+    kept. With ``flag_lost``, values that a conversion loses are flagged, here
+    and in the facts made of these events.
     """
-    return columns.project(raw, layout.prepared_columns(has_location(raw)))
+    rules = layout.prepared_columns(has_location(raw))
+    if layout.OLDER in raw.columns:
+        rules = [*rules, columns.rule(layout.OLDER)]
+    return columns.project(raw, rules, flag_lost=flag_lost)
 
 
 def with_city(facts: DataFrame, hotels: DataFrame) -> DataFrame:

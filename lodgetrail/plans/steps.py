@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from lodgetrail.functions import columns, scalars
 from lodgetrail.operators import arrays, filters, pick
@@ -61,8 +61,30 @@ def fact_rules(schema: StructType) -> list[columns.Rule]:
     return names.fact_columns(isinstance(location, StructType), has_rank(schema))
 
 
+def project_facts(
+    opened: DataFrame, rules: Sequence[columns.Rule], step: str | None = None, flag_lost: bool = False
+) -> DataFrame:
+    """The fact columns; rows of files in the older layout have that layout's constants for locations.
+
+    These are texts: a column of another type is NULL there.
+    """
+    if names.OLDER not in opened.columns:
+        return columns.project(opened, rules, step, flag_lost=flag_lost)
+    flagged = columns.project(opened, [*rules, columns.rule(names.OLDER)], step, flag_lost=flag_lost)
+
+    def column(name: str, of: DataType) -> str:
+        if name in names.EMPTY_IN_OLDER and isinstance(of, StringType):
+            return f"IF(`{names.OLDER}`, '', `{name}`) AS `{name}`"
+        if name in names.EMPTY_IN_OLDER or name in names.NULL_IN_OLDER:
+            return f"IF(`{names.OLDER}`, NULL, `{name}`) AS `{name}`"
+        return f"`{name}`"
+
+    return flagged.selectExpr(*[column(f.name, f.dataType) for f in flagged.schema if f.name != names.OLDER])
+
+
 def _facts(opened: DataFrame, step: str | None) -> DataFrame:
-    return columns.project(opened, fact_rules(opened.schema), step)
+    flag_lost = any(c.startswith(columns.LOST) for c in opened.columns)
+    return project_facts(opened, fact_rules(opened.schema), step, flag_lost)
 
 
 def tariff_order(order: str, schema: StructType):

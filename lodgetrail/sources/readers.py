@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
-from pyspark.sql.types import ArrayType, DataType, StructField, StructType
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DataType, StructField, StructType
+
+from lodgetrail.sources import scratch
 
 
 def pruned(schema: StructType, wanted: Iterable[str]) -> StructType:
@@ -41,12 +43,49 @@ def pruned(schema: StructType, wanted: Iterable[str]) -> StructType:
     )
 
 
+# The reader that gives a struct its default value where a file lacks it: not the one by batches.
+_BY_ROWS = ("spark.sql.parquet.enableNestedColumnVectorizedReader", "false")
+_LACKS = "_lacks"
+
+
+def files_lacking(spark: SparkSession, source: str, column: StructField) -> DataFrame:
+    """Paths (``file``) of the source's files that hold rows but not the struct column at all.
+
+    A column absent from a file reads as NULL, as does a NULL value. So one
+    field of the struct is read, next to a field that no file has, under a
+    default value for the whole struct: only where the column is absent does
+    the default, and with it that field, show. One narrow job; its result is a
+    written table of at most one row a file.
+    """
+    one = next((f for f in column.dataType.fields if not isinstance(f.dataType, (ArrayType, StructType))), None)
+    fields = [one or column.dataType.fields[0], StructField(_LACKS, BooleanType())]
+    default = (
+        f"named_struct('{fields[0].name}', CAST(NULL AS {fields[0].dataType.simpleString()}), '{_LACKS}', true)"
+    )
+    probe = StructField(
+        column.name, StructType(fields), True, {"CURRENT_DEFAULT": default, "EXISTS_DEFAULT": default}
+    )
+    # A session of its own, so that the option touches no other scan. Structs are
+    # compared whole: cutting the read schema to one field would lose the default.
+    session = spark.newSession()
+    session.conf.set(*_BY_ROWS)
+    lacking = (
+        session.read.schema(StructType([probe])).parquet(source)
+        .where(F.col(column.name).eqNullSafe(F.expr(default)))
+        .select(F.col("_metadata.file_path").alias("file")).distinct()
+    )
+    path = scratch.fresh_path(spark, "files-lacking")
+    lacking.write.parquet(path)
+    return spark.read.schema("file string").parquet(path)
+
+
 def read_events(
     spark: SparkSession,
     path: str,
     day: str | None = None,
     wanted: Iterable[str] | None = None,
     day_column: str = "date_part",
+    flag_lacking: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Raw events: one dataset, or one day's directory of a dataset partitioned by day.
 
@@ -59,6 +98,10 @@ def read_events(
     The columns are those of all files of the source together, found by a
     distributed look at every footer: a day may mix layouts, and no one file
     decides what the others hold. Columns a file lacks are NULL in its rows.
+
+    ``flag_lacking`` names a struct column and a flag to add: whether the
+    row's file lacks that column. It is added only where some files lack the
+    column and some do not, which one narrow job finds out.
     """
     source = path if day is None else f"{path.rstrip('/')}/{day_column}={day}"
 
@@ -67,9 +110,17 @@ def read_events(
         return plain if day is None else plain.option("basePath", path)
 
     found = reader().parquet(source)
-    if wanted is None:
-        return found
-    return reader().schema(pruned(found.schema, wanted)).parquet(source)
+    events = found if wanted is None else reader().schema(pruned(found.schema, wanted)).parquet(source)
+    column, flag = flag_lacking or (None, None)
+    if column not in found.columns or not isinstance(found.schema[column].dataType, StructType):
+        return events
+    lacking = files_lacking(spark, source, found.schema[column])
+    if lacking.isEmpty():
+        return events
+    # No hint: Spark broadcasts the paths where they measure small.
+    known = lacking.withColumn(flag, F.lit(True))
+    filed = events.select("*", F.col("_metadata.file_path").alias("file"))
+    return filed.join(known, "file", "left").drop("file").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def read_delimited(

@@ -3,12 +3,12 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from lodgetrail.functions import columns
 from lodgetrail.functions.columns import rule
 from lodgetrail.operators import combine
-from lodgetrail.plans import day_job, layout, prepare, steps
+from lodgetrail.plans import day_job, declared, layout, prepare, steps
 from lodgetrail.sources import readers, scratch, writers
 from tests.conftest import rows
 from tests.events import event, frame, server, tariff
@@ -131,3 +131,80 @@ def test_scratch_needs_a_shared_folder_off_one_machine():
         scratch.shared_folder(Session)
     Session.sparkContext.master = "local[4]"
     assert scratch.shared_folder(Session).startswith("file:///")
+
+
+NO_HOTELS = "mmt_hotel_id string, city_code string, htl_city_code string"
+
+
+def mixed_day(spark, root, *, older, current):
+    frame(spark, *older).drop("locus").coalesce(1).write.mode("append").parquet(f"{root}/date_part={DAY}")
+    frame(spark, *current).coalesce(1).write.mode("append").parquet(f"{root}/date_part={DAY}")
+
+
+@pytest.mark.parametrize("row_ids", [steps.SHARED, steps.UNIQUE, steps.FEW_SHARED])
+def test_an_older_row_gives_the_same_facts_in_a_pure_and_a_mixed_day(spark, tmp_path, row_ids):
+    older = [
+        event("a", "detail", pd_htl_trff_srvr_ls=[tariff("r", 1.0)]), event("c", "review"),
+        event("b", "listing", pd_htl_dtl_disp=[("h", 1, "2")], pd_htl_srvr_ls=[server("h", location=("L", ["x"]))]),
+    ]
+    current = [event("n", "detail", locus=CITY), event("m", "detail"), event("o", "review", locus=("D", ["e"], "i", [("p", 2.5)]))]
+    mixed_day(spark, str(tmp_path / "mixed"), older=older, current=current)
+    mixed_day(spark, str(tmp_path / "older"), older=older, current=[])
+    frame(spark, *older).drop("locus").write.parquet(str(tmp_path / f"pure/date_part={DAY}"))
+    frame(spark, *current).write.parquet(str(tmp_path / f"new/date_part={DAY}"))
+    hotels = spark.createDataFrame([], NO_HOTELS)
+
+    def facts(folder):
+        flag = (layout.LOCATION, layout.OLDER)
+        raw = readers.read_events(spark, str(tmp_path / folder), DAY, layout.raw_paths(), flag_lacking=flag)
+        out = day_job.day_facts(raw, hotels, DAY, row_ids, row_ids, schema=declared.FACT_SCHEMA)
+        assert out.schema == declared.FACT_SCHEMA or [f.dataType for f in out.schema] == [f.dataType for f in declared.FACT_SCHEMA]
+        return layout.OLDER in raw.columns, rows(out)
+
+    flagged, both = facts("mixed")
+    assert flagged and both == sorted(facts("pure")[1] + facts("new")[1], key=lambda r: tuple((v is not None, str(v)) for v in r))
+    assert not facts("pure")[0] and not facts("new")[0]
+    # An empty file beside the others changes nothing.
+    assert facts("older")[1] == facts("pure")[1]
+
+
+def test_the_declared_schema_has_every_fact_column():
+    names = [spec.target for spec in layout.fact_columns(True)]
+    assert declared.FACT_SCHEMA.names[:184] == names and len(declared.FACT_SCHEMA) == 189
+
+
+@pytest.mark.parametrize("row_ids", [steps.SHARED, steps.UNIQUE])
+@pytest.mark.parametrize("listing_only", [True, False])
+def test_values_lost_in_conversions_are_counted(spark, tmp_path, row_ids, listing_only):
+    shown = [("h", 1, "x"), ("g", 2, "3.5")]
+    events = frame(
+        spark,
+        event("a", "detail", srch_ap="n/a", pd_htl_trff_srvr_ls=[tariff("r", 1.0, coupons=[("c", "BEST_COUPON", "?", None)])]),
+        event("b", "listing", srch_ap="7", pd_htl_dtl_disp=shown, pd_htl_srvr_ls=[server("h", "one"), server("g", " ")]),
+        event("c", "review", srch_ap=" "),
+    ).withColumn("prc_surge_prcnt", F.lit("low")).withColumn("pd_disp_sell_amt", F.lit("much"))
+    lost = Observation("lost")
+    hotels = spark.createDataFrame([], NO_HOTELS)
+    facts = day_job.day_facts(
+        events, hotels, DAY, row_ids, row_ids, listing_only=listing_only, schema=declared.FACT_SCHEMA, lost=lost
+    )
+    assert len(facts.columns) == 189
+    found = facts.collect()
+    counts = {name: n for name, n in lost.get.items() if n}
+    # The surge is the event's on detail and other rows, the server hotel's on listing rows, which hold none here.
+    assert counts == {
+        "rows": 4, "ap": 1, "cpn_amt": 1, "disp_sell_amt": 1, "srvr_hotel_rank": 1, "prc_surge_prcnt": 2,
+        "pd_disp_sell_amt_main": 4,
+    }
+    assert len(found) == 4 and {r["ap"] for r in found} == {None, 7}
+
+
+def test_the_job_declares_its_schema_and_reports_what_was_lost(spark, tmp_path):
+    mixed_day(spark, str(tmp_path / "events"), older=[event("a", "review", srch_ap="z")], current=[event("b", "review")])
+    spark.createDataFrame([("h", "c")], "hotel_id string, city_code string").write.option("header", True).option("sep", "|").csv(str(tmp_path / "hotels"))
+    lost = Observation("lost in the day")
+    path = day_job.run_day(spark, str(tmp_path / "events"), str(tmp_path / "hotels"), DAY, str(tmp_path / "facts"), lost=lost)
+    held = dict(spark.read.parquet(path).dtypes)
+    assert held["loc_poi_lat"] == "double" and held["ap"] == "smallint" and lost.get["ap"] == 1 and lost.get["rows"] == 2
+    with pytest.raises(ValueError):
+        day_job.run_day(spark, "e", "h", DAY, "f", layout="range", lost=Observation("again"))
