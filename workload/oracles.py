@@ -412,6 +412,14 @@ MIXED = {
 }
 ORACLES["day_mixed_layouts"] = day_facts(", ".join(MIXED.get(c, c) for c in FINISHED))
 
+# Each row in its file's layout: an older one's location texts are empty, and its one number is NULL.
+BY_FILE = {
+    c: f"CASE WHEN {LOCATED} THEN {c} ELSE {empty} END AS {c}"
+    for c in OLDER
+    for empty in ("NULL" if c == "loc_poi_lat" else "''",)
+}
+ORACLES["day_layout_by_file"] = day_facts(", ".join(BY_FILE.get(c, c) for c in FINISHED))
+
 
 def widened(facts: str, step: int, **more: str) -> str:
     """A step's facts with the columns of ``workload.wide`` beside those held here; ``more`` replaces what wide events hold too."""

@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 from lodgetrail.functions import columns, scalars
 from lodgetrail.functions.columns import EMPTY, null, rule
 from lodgetrail.operators import arrays, combine, enrich, filters, pick, report
-from lodgetrail.plans import day_job as job, layout, prepare, steps
+from lodgetrail.plans import day_job as job, declared, layout, prepare, steps
 from lodgetrail.sources import readers, scratch, writers
 from workload import nested, wide
 
@@ -450,14 +450,29 @@ def day_job_reference_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.select(*FINISHED)
 
 
-@query
-def day_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day whose files hold both layouts: suppliers with odd keys write the older one."""
+def mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events of a day whose files hold both layouts: suppliers with odd keys write the older one."""
     events = f"{scratch.fresh_path(spark, 'mixed')}/events"
     raw = nested.raw_events(spark, sf_dir)
     odd = F.substring_index("meta_rq_id", "-", -1).cast("bigint") % 2 == 1
     nested.older(raw.where(odd)).write.parquet(f"{events}/date_part={DAY}")
     raw.where(~odd).write.mode("append").parquet(f"{events}/date_part={DAY}")
+    return events
+
+
+@query
+def day_layout_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of both layouts, each row in its file's layout, held to the declared schema."""
+    flag = (layout.LOCATION, layout.OLDER)
+    day = readers.read_events(spark, mixed_files(spark, sf_dir), DAY, layout.raw_paths(), flag_lacking=flag)
+    hotels = prepare.hotel_cities(nested.hotels(spark, sf_dir))
+    return job.day_facts(day, hotels, DAY, schema=declared.FACT_SCHEMA).select(*FINISHED)
+
+
+@query
+def day_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same day read without telling its files apart."""
+    events = mixed_files(spark, sf_dir)
     day = readers.read_events(spark, events, DAY, layout.raw_paths())
     return job.day_facts(day, prepare.hotel_cities(nested.hotels(spark, sf_dir)), DAY).select(*FINISHED)
 
