@@ -23,8 +23,6 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces that one task packs: some 40 bytes each.
 PIECES = 50_000
-#: Exchanges at most; each must save a sequence to be followed by another.
-ROUNDS = 4
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECES}, part int, bin int, offset long, fill long, bins long, bound long"
@@ -128,53 +126,75 @@ def _pack_parts(pieces: DataFrame, parts: int, capacity: int) -> DataFrame:
 
 
 def pack_pieces(
-    pieces: DataFrame, capacity: int = CAPACITY, per_part: int = PIECES, rounds: int = ROUNDS
+    pieces: DataFrame, capacity: int = CAPACITY, per_part: int = PIECES
 ) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """Pieces with ``sequence_id`` and ``offset``, and (sequences, bound) of each round.
+    """Pieces with ``sequence_id``, ``offset`` and a certificate, and (sequences, bound) of each round.
 
     ``pieces`` must be a written table, as it is read several times. Full
     pieces are sequences of their own. Rounds after the first pack only what
     was exchanged: the pieces of bins with room, of partitions whose bins
-    exceed their bound. A round that saves nothing is dropped and ends it.
+    exceed their bound; where that is one partition alone, its bins with room
+    meet those of all partitions of its round. Rounds go on until every
+    partition meets its bound or a round saves nothing, which is dropped; each
+    but the last saves a sequence, so they end.
+
+    The certificate is ``packed_sequences``, how many sequences the pieces
+    took that were packed with this one, and ``lower_bound``, how many they
+    need at least. Sequences without room are their own certificate: 1 and 1.
     """
     columns = [c.split()[0] for c in _PIECES.split(", ")]
     full = pieces.where(F.col("length") == capacity)
     open_pieces = pieces.where(F.col("length") < capacity).select(*columns)
 
-    def packed(rows: DataFrame, number: int) -> tuple[DataFrame, int, int]:
+    first = 0  # partitions are numbered on from round to round, so sequence ids do not repeat
+
+    def packed(rows: DataFrame, number: int) -> tuple[DataFrame, int, int, int, int]:
         parts = max(1, math.ceil(rows.count() / per_part))
         done = tables.stored(_pack_parts(rows, parts, capacity), f"packing-{number}")
-        # One row per partition, summed: two numbers.
+        # One row per partition, summed: three numbers.
         sums = (
             done.groupBy("part").agg(F.first("bins").alias("bins"), F.first("bound").alias("bound"))
-            .agg(F.sum("bins"), F.sum("bound")).first()
+            .agg(F.sum("bins"), F.sum("bound"), F.count_if(F.col("bins") > F.col("bound"))).first()
         )
-        return done, sums[0] or 0, sums[1] or 0
+        return done, sums[0] or 0, sums[1] or 0, sums[2], parts
 
-    done, bins, bound = packed(open_pieces, 0)
-    history, settled, number = [(bins, bound)], [], 0
-    while bins > bound and number < rounds:
-        gap = (F.col("bins") > F.col("bound")) & (F.col("fill") < capacity)
+    open_gap = F.col("bins") > F.col("bound")
+    done, bins, bound, gaps, parts = packed(open_pieces, 0)
+    history, settled = [(bins, bound)], []
+    while gaps:
+        gap = (F.lit(True) if gaps == 1 else open_gap) & (F.col("fill") < capacity)
         loose = done.where(gap)
         before = loose.select("part", "bin").distinct().count()
-        again, bins, bound = packed(loose.select(*columns), number + 1)
+        again, bins, bound, gaps, more = packed(loose.select(*columns), len(history))
         if bins >= before:
             break
-        settled.append((number, done.where(~gap)))
-        done, number = again, number + 1
+        settled.append((first, done.where(~gap)))
+        done, first, parts = again, first + parts, more
         history.append((bins, bound))
+    one = F.lit(1).cast("long")
     result = full.select(
-        *columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
-    for of, rows in [*settled, (number, done)]:
-        sequence = F.lit(of << 58) + F.shiftleft(F.col("part").cast("long"), 32) + F.col("bin")
-        result = result.unionByName(rows.select(*columns, sequence.alias("sequence_id"), "offset"))
+        *columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        one.alias("packed_sequences"), one.alias("lower_bound"),
+    )
+    for of, rows in [*settled, (first, done)]:
+        sequence = F.shiftleft(F.col("part").cast("long") + of, 32) + F.col("bin")
+        by_itself = F.col("fill") == capacity
+        result = result.unionByName(
+            rows.select(
+                *columns, sequence.alias("sequence_id"), "offset",
+                F.when(by_itself, one).otherwise(F.col("bins")).alias("packed_sequences"),
+                F.when(by_itself, one).otherwise(F.col("bound")).alias("lower_bound"),
+            )
+        )
     return result, history
 
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, kept: int = encoders.KEPT
 ) -> DataFrame:
-    """All documents as pieces placed in sequences, gapless from offset 0; ``kept`` as in ``encoders``."""
+    """All documents as pieces placed in sequences, gapless from offset 0; ``kept`` as in ``encoders``.
+
+    With the certificate of ``pack_pieces``. No documents give no rows.
+    """
     pieces = tables.stored(cut_pieces(docs, tokenizer, capacity, kept=kept), "pieces")
     return pack_pieces(pieces, capacity)[0]
