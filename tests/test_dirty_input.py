@@ -10,7 +10,7 @@ from lodgetrail.functions.columns import rule
 from lodgetrail.operators import combine
 from lodgetrail.plans import day_job, declared, layout, prepare, steps
 from lodgetrail.sources import readers, scratch, writers
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from tests.events import event, frame, server, tariff
 
 DAY = "2020-12-30"
@@ -208,3 +208,18 @@ def test_the_job_declares_its_schema_and_reports_what_was_lost(spark, tmp_path):
     assert held["loc_poi_lat"] == "double" and held["ap"] == "smallint" and lost.get["ap"] == 1 and lost.get["rows"] == 2
     with pytest.raises(ValueError):
         day_job.run_day(spark, "e", "h", DAY, "f", layout="range", lost=Observation("again"))
+
+
+def test_lacking_files_are_found_by_batches_not_row_by_row(spark, tmp_path):
+    source = str(tmp_path / "events")
+    ids = spark.range(60_000).coalesce(1)
+    ids.write.parquet(f"{source}/k=1")
+    ids.selectExpr("id", "CAST(NULL AS struct<a:string,b:array<int>>) AS locus").write.parquet(f"{source}/k=2")
+    ids.selectExpr("id", "IF(id % 2 = 0, named_struct('a', CAST(NULL AS string), 'b', array(1)), NULL) AS locus").write.parquet(f"{source}/k=3")
+    ids.limit(3).selectExpr("id", "named_struct('b', array(1)) AS locus").write.parquet(f"{source}/k=4")
+    column = spark.read.option("mergeSchema", True).parquet(source).schema["locus"]
+    found = readers.files_lacking(spark, source, column)
+    assert [f"k={n}" for n in range(1, 5) if found.where(F.col("file").contains(f"/k={n}/")).count()] == ["k=1"]
+    assert found.count() == 1
+    # The reader by rows works the default out for every row, two milliseconds each.
+    assert "ColumnarToRow" in plan_of(readers.rows_lacking(spark, source, "locus"))
