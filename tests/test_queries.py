@@ -4,6 +4,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from lodgetrail.plans import prepare, steps
@@ -87,3 +88,19 @@ def test_no_two_fields_have_like_values(tables):
         values = ", ".join(f"list(({wide.fact_sql(f, kind, '0')})::VARCHAR ORDER BY p)" for f in sorted(fields))
         row = tables.sql(f"SELECT {values} FROM range(400) t(p)").fetchall()[0]
         assert len({tuple(v) for v in row}) == len(fields)
+
+
+def test_a_task_makes_a_bounded_number_of_events(spark):
+    # 8 splits used to be enough for any number of rows on 8 cores.
+    lines = spark.range(0, 1_000_000, 1, 8)
+    dealt = nested.spread(lines)
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 1_000_000
+    sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 1.1 * nested.EVENTS_A_TASK
+
+
+def test_arrays_of_events_are_compiled(spark):
+    made = nested.listed("n", "i", "concat('a', i)")
+    n = spark.sql("SELECT * FROM VALUES (NULL), (-1), (0), (2), (4) AS t(n)")
+    assert [r[0] for r in n.selectExpr(made).collect()] == [[], [], [], ["a0", "a1"], ["a0", "a1", "a2", "a3"]]
+    assert "lambda" not in plan_of(n.selectExpr(made))
