@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from lodgetrail.plans import prepare, steps
+from lodgetrail.plans import day_job as job, prepare, steps
 from tests import opened_first
 from tests.conftest import plan_of
 from workload import nested, wide
@@ -40,6 +40,15 @@ def test_query(spark, tables, name):
     assert_same(tables, df.toArrow(), tables.sql(ORACLES[name]).to_arrow_table())
 
 
+@pytest.mark.parametrize("name", ["day_job", "day_job_full", "day_job_unique_ids", "day_mixed_layouts"])
+def test_facts_are_not_shuffled_for_a_small_dimension(spark, conf, monkeypatch, name):
+    # Beyond Spark's threshold for tables in general, which a dimension of a million hotels passes.
+    conf(autoBroadcastJoinThreshold="-1")
+    assert "hashpartitioning(hotel_id" not in plan_of(QUERIES[name](spark, DATA))
+    monkeypatch.setattr(job, "BROADCAST_HOTELS", 1000)
+    assert "hashpartitioning(hotel_id" in plan_of(QUERIES[name](spark, DATA))
+
+
 def assert_same(tables, got, expected):
     """Same columns, types and rows, in any order."""
     kinds = lambda t: {f.name: str(f.type) for f in t.schema}
