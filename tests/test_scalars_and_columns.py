@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodgetrail.functions import columns, scalars
 from lodgetrail.functions.columns import EMPTY, null, rule
 from lodgetrail.plans import layout, prepare
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from tests.events import MILLIS, event, frame
 
 
@@ -159,3 +159,24 @@ def test_both_layouts_prepare(spark):
     old = prepare.prepare_events(current.drop("locus"))
     assert len(old.columns) == 120
     assert rows(old, "filter_star_arr", "locus", "srch_txt") == [("3,4", "", "")]
+
+
+ODD_TEXTS = [
+    None, "", " ", "none", "perhaps", "n/a", "x1", "12abc", "12", " +12\t", "-7.9", "1.", ".5", ".", "+", "-.", "1e3", "1.5f", "2D", "0x1p3", "1e400",
+    "NaN", "-inf", "+Infinity", "iNf", "infin", "70000", "99999999999999999999", "Yes", " T\n", "\x7f0", "tr", "truee", "NO", "\x01true\x1f", " 1",
+    "2020-02-30", "2020-2-3", " 2020", "+2020-01-01T99", "20-01-01", "y2020", "-2020-01-01", "1_000", "1,5", "١", "1\n", "--1",
+]
+
+
+@pytest.mark.parametrize("kind", scalars.TEXT_LIKE)
+def test_text_that_no_cast_can_read_is_not_cast(spark, kind):
+    # A failed cast throws and catches an exception, which took most of a row's time.
+    texts = spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string")
+    guarded = columns.project(texts, [rule("t"), rule("v", "t", kind)])
+    cut = scalars.WHOLE_TEXT.format("t") if kind in scalars.WHOLE else "t"
+    plain = texts.selectExpr("t", f"try_cast({cut} AS {kind}) AS v")
+    both = [df.selectExpr("t", "CAST(v AS string) AS v") for df in (guarded, plain)]
+    assert guarded.dtypes == plain.dtypes and rows(both[0]) == rows(both[1])
+    tried = {r[0] for r in texts.where(F.col("t").rlike(scalars.TEXT_LIKE[kind])).collect()}
+    assert {t for t, v in rows(both[1]) if v is not None} <= tried and not tried & {"", " ", "none", "perhaps", "n/a"}
+    assert "RLIKE" in plan_of(guarded)
