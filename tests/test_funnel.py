@@ -157,6 +157,18 @@ def test_listing_needs_no_shuffle(spark):
     assert "Exchange " not in plan_of(steps.listing_facts(prepared(spark, event("a", "listing"))))
 
 
+def test_listing_opens_pairs_and_their_coupons_at_once(spark):
+    # Each opening copies the event's columns.
+    shown = [("h1", 1, "1"), ("h2", 2, "2"), ("h3", 3, "3")]
+    servers = [server("h1", "1", None, [coupon("c0", "RECOMMEND"), coupon("c1", "OTHER_COUPON"), coupon("c2"), None])]
+    servers += [server("h2", "2", None, [coupon("c3", "OTHER_COUPON")]), server("h3", "3", None, []), server("h3", "4")]
+    out = steps.listing_facts(prepared(spark, event("a", "listing", pd_htl_dtl_disp=shown, pd_htl_srvr_ls=servers)))
+    assert plan_of(out).count("Generate ") == 1
+    assert rows(out, "hotel_id", "srvr_hotel_rank", "cpn_cd") == [
+        ("h1", 1, None), ("h1", 1, "c0"), ("h1", 1, "c2"), ("h3", 3, None), ("h3", 4, None),
+    ]
+
+
 OTHERS = [
     event("a", "review", meta_rq_id="1", pd_htl_dtl_disp=SHOWN, cpn_resp_ls=[coupon("c0", "OTHER_COUPON"), coupon("c1", "REDEEMED")]),
     event("a", "review", meta_rq_id="2", cpn_resp_ls=[coupon("d0", "BEST_COUPON"), coupon("d1", "RECOMMEND"), coupon("d2")]),
