@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -134,6 +135,39 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert kept.join(labels.where("toxic = 1"), "doc_id").count() < 0.5 * labels.where("toxic = 1").count()
 
 
+def test_toxicity_is_learnt_from_long_texts(spark):
+    """A word that only texts of over 60,000 characters hold."""
+    rng = random.Random(3)
+    words = [f"w{n}" + "x" * 1_000 for n in range(40)]
+    rows = [(n, " ".join(rng.choices(words, k=70 if n % 3 == 0 else 20) + ["vileword"] * (n % 3 == 0))) for n in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(n, int(n % 3 == 0)) for n, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    scores = toxicity.Scorer(model).scores([rows[1][1] + " vileword", rows[1][1]])
+    assert scores[0] > 0.7 > scores[1]
+
+
+def test_toxicity_is_learnt_from_all_labelled_rows_in_lanes(spark):
+    rng = random.Random(2)
+    words = [f"w{n}" for n in range(200)]
+    rows = [(n, " ".join(rng.choices(words, k=30) + ["vileone"] * (n % 4 == 0))) for n in range(600)]
+    docs = spark.createDataFrame([*rows, *rows[:50], (700, None), (None, "x")], SCHEMA)
+    labels = spark.createDataFrame([(n, int(n % 4 == 0)) for n, _ in rows] + [(700, 1), (None, 1), (3, None)], "doc_id long, toxic int")
+    given, lanes = labelled.fit_rows(docs, labels, "toxic", 64, 1 << 26)
+    taken = given.select("_id", "text", "y", "lane", "aside").collect()
+    allowed = {n for n, _ in rows if zlib.crc32(str(n).encode()) % 3 != 1}
+    assert Counter((r["_id"], r["text"]) for r in taken) == Counter((n, t) for n, t in rows if n in allowed)
+    assert lanes == -(-len(allowed) // 64) and {r["lane"] for r in taken} == set(range(lanes))
+    assert 0 < sum(r["aside"] for r in taken) <= len(allowed) / 5
+    counts = toxicity._counted(given)
+    assert counts.rows.tolist() == [sum(n % 4 != 0 for n in allowed), sum(n % 4 == 0 for n in allowed)]
+    model = toxicity.fit(docs, labels, lane_rows=64)
+    scores = toxicity.Scorer(model).scores([rows[1][1] + " vileone", rows[1][1]])
+    assert scores[0] > 0.7 > scores[1]
+    # One short text is enough characters for a lane of its own here.
+    assert labelled.fit_rows(docs, labels, "toxic", 1_000, 10_000)[1] > 1
+
+
 def test_toxicity_learns_planted_words():
     rng = random.Random(1)
     words = [f"w{n}" for n in range(300)]
